@@ -10,3 +10,11 @@ from cellfold.sources.bronze import Corpus
 
 def g1(spark: SparkSession, sf_dir: str) -> Corpus:
     return grids.g1_metric_grid(spark, sf_dir)
+
+
+def g2(spark: SparkSession, sf_dir: str) -> Corpus:
+    return grids.g2_form_grid(spark, sf_dir)
+
+
+def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START) -> Corpus:
+    return grids.g3_schedule_grid(spark, sf_dir, start=start)

@@ -12,7 +12,7 @@ supplier or customer).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellfold.sources.bronze import (Corpus, cell, explode_cells, finish_cells,
@@ -112,3 +112,250 @@ def g1_metric_grid(spark: SparkSession, sf_dir: str) -> Corpus:
                         F.lit(0).alias("first_row"), F.lit(0).alias("last_row"),
                         F.lit(0).alias("first_col"), F.lit(3).alias("last_col"))
     return Corpus(sheets, cells, merges)
+
+
+# ---------------------------------------------------------------------------
+# G2 form grid
+# ---------------------------------------------------------------------------
+
+# The form sheet name and the eight form labels, as written on
+# the form (matching is on trimmed lower case).
+FORM_SHEET = "Form - Document_Q1 2018"
+FORM_LABELS = {
+    "total": "Total number of operational procedures",
+    "outdated": "Number of outdated OPs",
+    "last_year": "Last updated OP (year)",
+    "planned": "Number planned for review",
+    "reviewed": "Number of procedure reviewed",
+    "carried": "No of carried forward procedure for review",
+    "pct": "% of procedure reviewed vs number planned",
+    "element": "Element",
+}
+FORM_VALUE_OFFSET = 21
+
+
+def g2_customer_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer (all of them, also those without orders): orders per
+    calendar quarter (planned), of those status F (reviewed) and status O
+    (carried), and totals. One join, one aggregation."""
+    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
+    j = cust.join(orders, cust.c_custkey == orders.o_custkey, "left")
+    q = F.quarter("o_orderdate")
+    st = F.col("o_orderstatus")
+    aggs = []
+    for k in range(1, 5):
+        aggs += [F.count(F.when(q == k, 1)).alias(f"planned{k}"),
+                 F.count(F.when((q == k) & (st == "F"), 1)).alias(f"reviewed{k}"),
+                 F.count(F.when((q == k) & (st == "O"), 1)).alias(f"carried{k}")]
+    aggs += [F.count(F.when(st == "F", 1)).alias("n_f"),
+             F.count(F.when(st == "O", 1)).alias("n_o"),
+             F.count(F.when(st == "P", 1)).alias("n_p"),
+             F.count("o_orderdate").alias("n_orders"),
+             F.max(F.year("o_orderdate")).alias("last_year")]
+    return j.groupBy("c_custkey", "c_name", "c_mktsegment").agg(*aggs)
+
+
+def g2_ratio_text(reviewed, planned) -> F.Column:
+    """reviewed/planned truncated to 4 decimals, as text ('0.3333'); '0' when
+    nothing is planned. Integer arithmetic, so every engine writes the same."""
+    q4 = F.when(planned > 0, (reviewed * 10000 / planned).cast("bigint"))
+    frac = F.lpad(F.pmod(q4, F.lit(10000)).cast("string"), 4, "0")
+    whole = (q4 / 10000).cast("bigint").cast("string")
+    return F.when(planned > 0, F.concat(whole, F.lit("."), frac)).otherwise(F.lit("0"))
+
+
+def g2_form_grid(spark: SparkSession, sf_dir: str) -> Corpus:
+    """G2. One workbook per customer: sheet 0 'Cover', sheet 1 the form.
+
+    Labels sit in column 0 (column 1 for every third customer) on rows where
+    a merged region starts; values are 21 columns to the right. Quarter
+    blocks are 4-row merges. A later-declared 2-row merge also starts on the
+    planned row (the first declared one fixes the height), and an unmerged
+    decoy 'Number planned for review' row sits at the bottom.
+    """
+    agg = g2_customer_quarters(spark, sf_dir)
+    wb = F.concat(F.lit("customer-"), F.col("c_custkey").cast("string"))
+    lc = F.when(F.pmod(F.col("c_custkey"), F.lit(3)) == 0, F.lit(1)).otherwise(F.lit(0))
+    sheet_name = F.when(F.pmod(F.col("c_custkey"), F.lit(5)) == 0,
+                        F.lit(" " + FORM_SHEET.lower())).otherwise(F.lit(FORM_SHEET))
+    base = agg.select(wb.alias("workbook"), F.lit(1).alias("sheet_idx"), lc.alias("lc"),
+                      sheet_name.alias("sheet"), "*")
+    L = F.col("lc")
+    V = L + FORM_VALUE_OFFSET
+
+    def s_cell(r, c, v):
+        return cell(r, c, "string", s=v, text=v)
+
+    def n_cell(r, c, v):
+        return cell(r, c, "numeric", num=v, text=format_number_text(v))
+
+    total_text = F.concat(F.col("n_f").cast("string"), F.lit(" + "), F.col("n_o").cast("string"))
+    structs = [s_cell(0, L, "Procedure adequacy form"),
+               s_cell(1, L, FORM_LABELS["total"]), s_cell(1, V, total_text),
+               s_cell(2, L, FORM_LABELS["outdated"]), n_cell(2, V, F.col("n_p")),
+               s_cell(3, L, FORM_LABELS["last_year"]),
+               F.when(F.col("last_year").isNotNull(),
+                      s_cell(3, V, F.col("last_year").cast("string"))),
+               s_cell(4, L, FORM_LABELS["planned"]),
+               s_cell(8, L, FORM_LABELS["reviewed"]),
+               s_cell(12, L, FORM_LABELS["carried"]),
+               s_cell(16, L, FORM_LABELS["pct"]),
+               s_cell(20, L, FORM_LABELS["element"]),
+               s_cell(25, L, FORM_LABELS["planned"]), n_cell(25, V, F.lit(999.0))]
+    for k in range(1, 5):
+        p, r, c = F.col(f"planned{k}"), F.col(f"reviewed{k}"), F.col(f"carried{k}")
+        # planned: numeric when > 0, no cell at all when 0 (reads as blank)
+        structs.append(F.when(p > 0, n_cell(3 + k, V, p)))
+        # reviewed: numeric when > 0, a styled blank cell when 0
+        structs.append(F.when(r > 0, n_cell(7 + k, V, r))
+                       .otherwise(cell(7 + k, V, "blank", text="")))
+        # carried: always text
+        structs.append(s_cell(11 + k, V, c.cast("string")))
+        structs.append(s_cell(15 + k, V, g2_ratio_text(r, p)))
+    elements = [F.concat(F.lit("segment "), F.col("c_mktsegment")),
+                F.concat(F.lit("orders "), F.col("n_orders").cast("string")),
+                F.lit("(spare)"),
+                F.concat(F.lit("name "), F.col("c_name")),
+                F.concat(F.lit("late "), F.col("n_o").cast("string"))]
+    for i, e in enumerate(elements):
+        structs.append(s_cell(20 + i, V, e))
+    form_cells = explode_cells(base, ["workbook", "sheet_idx"], structs)
+    cover_cells = explode_cells(base.select("workbook", F.lit(0).alias("sheet_idx")),
+                                ["workbook", "sheet_idx"],
+                                [cell(0, 0, "string", s="Cover", text="Cover")])
+    cells = finish_cells(form_cells.unionByName(cover_cells))
+
+    sheets = with_sheet_key(
+        base.select("workbook", "sheet_idx", "sheet")
+        .unionByName(base.select("workbook", F.lit(0).alias("sheet_idx"),
+                                 F.lit("Cover").alias("sheet"))))
+
+    def m(decl, r0, r1, c0, c1):
+        return F.struct(F.lit(decl).alias("decl_idx"), F.lit(r0).alias("first_row"),
+                        F.lit(r1).alias("last_row"), c0.cast("int").alias("first_col"),
+                        c1.cast("int").alias("last_col"))
+    spans = [m(0, 0, 0, L, L + 20), m(1, 1, 1, L, L + 20), m(2, 2, 2, L, L + 20),
+             m(3, 3, 3, L, L + 20), m(4, 4, 7, L, L + 20), m(5, 4, 5, V + 1, V + 2),
+             m(6, 8, 11, L, L + 20), m(7, 12, 15, L, L + 20), m(8, 16, 19, L, L + 20),
+             m(9, 20, 24, L, L + 20)]
+    merges = (base.select("workbook", "sheet_idx", F.explode(F.array(*spans)).alias("m"))
+              .select("workbook", F.col("sheet_idx").cast("int"), "m.*"))
+    return Corpus(sheets, cells, merges)
+
+
+# ---------------------------------------------------------------------------
+# G3 schedule grid
+# ---------------------------------------------------------------------------
+
+# The location header and the first month header of the schedule.
+LOCATION_HEADER = "Location"
+MONTH_HEADER = "January 2018"
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
+               "August", "September", "October", "November", "December"]
+WEEK_START = 49
+
+
+def g3_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (supplier, ship year, part type, brand, week slot 0..47): whether a
+    line is shipped with status O (planned) and whether one is returned (R)."""
+    li = _table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_partkey", "l_shipdate", "l_linestatus", "l_returnflag")
+    part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    slot = ((F.month("l_shipdate") - 1) * 4
+            + F.least(F.lit(3), F.floor((F.dayofmonth("l_shipdate") - 1) / 8)).cast("int"))
+    return (j.groupBy(F.col("l_suppkey").alias("suppkey"),
+                      F.year("l_shipdate").alias("year"),
+                      F.col("p_type").alias("ptype"), F.col("p_brand").alias("brand"),
+                      slot.alias("slot"))
+            .agg(F.count(F.when(F.col("l_linestatus") == "O", 1)).alias("n_open"),
+                 F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"),
+                 F.min("p_size").alias("min_size"),
+                 F.max("l_shipdate").alias("last_ship")))
+
+
+def g3_description(brand) -> F.Column:
+    """Description text: the brand family ('Brand#1' for Brand#1 and
+    Brand#10..19), so descriptions repeat inside a location block."""
+    return F.substring(brand, 1, 7)
+
+
+def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START) -> Corpus:
+    """G3. One workbook per supplier, one sheet per ship year.
+
+    Row 1 is the header ('Location' in column 0, month headers from column
+    ``start`` every 4 columns), row 2 the week labels; the header rows form
+    a 2-row merged region in column 0. Every part type is a location block:
+    a merged region in column 0 with two rows per brand (planned row, then
+    completed row). Week cells exist only where a line was shipped: planned
+    is numeric when a line has status O, completed numeric when a line was
+    returned, otherwise the cell holds '-'. A decoy 'Location' sits in row 0.
+    """
+    slots = g3_slots(spark, sf_dir)
+    wb = F.concat(F.lit("supplier-"), F.col("suppkey").cast("string"))
+    sid = (F.col("year") - F.lit(1994)).cast("int")
+    # per (sheet, type, brand): pair attributes
+    pairs = (slots.groupBy("suppkey", "year", "ptype", "brand")
+             .agg(F.min("min_size").alias("min_size"), F.max("last_ship").alias("last_ship")))
+    w_sheet = Window.partitionBy("suppkey", "year").orderBy("ptype", "brand")
+    w_type = Window.partitionBy("suppkey", "year", "ptype").orderBy("brand")
+    pairs = (pairs.withColumn("pair_ord", F.row_number().over(w_sheet) - 1)
+             .withColumn("brand_ord", F.row_number().over(w_type) - 1)
+             .withColumn("prow", F.lit(3) + F.col("pair_ord") * 2)
+             .withColumn("workbook", wb).withColumn("sheet_idx", sid))
+    blocks = (pairs.groupBy("workbook", "sheet_idx", "suppkey", "year", "ptype")
+              .agg(F.min("prow").alias("first_row"), F.max("prow").alias("last_pair_row")))
+
+    def s_cell(r, c, v):
+        return cell(r, c, "string", s=v, text=v)
+
+    pair_cells = explode_cells(pairs, ["workbook", "sheet_idx"], [
+        s_cell(F.col("prow"), 1, g3_description(F.col("brand"))),
+        s_cell(F.col("prow"), 2, F.col("min_size").cast("string")),
+        s_cell(F.col("prow"), 4, F.date_format("last_ship", "yyyy-MM-dd")),
+    ])
+    block_cells = explode_cells(blocks, ["workbook", "sheet_idx"], [
+        s_cell(F.col("first_row"), 0, F.col("ptype")),
+        s_cell(F.col("first_row"), 3, F.concat(F.lit("PF-"), F.lower(F.col("ptype")))),
+    ])
+    sp = slots.join(pairs.select("suppkey", "year", "ptype", "brand", "prow", "workbook",
+                                 "sheet_idx"), ["suppkey", "year", "ptype", "brand"])
+    wc = F.lit(start) + F.col("slot")
+    week_cells = explode_cells(sp, ["workbook", "sheet_idx"], [
+        F.when(F.col("n_open") > 0,
+               cell(F.col("prow"), wc, "numeric", num=F.col("n_open"),
+                    text=F.col("n_open").cast("string")))
+        .otherwise(s_cell(F.col("prow"), wc, F.lit("-"))),
+        F.when(F.col("returned") > 0,
+               cell(F.col("prow") + 1, wc, "numeric", num=F.lit(1.0), text="1"))
+        .otherwise(s_cell(F.col("prow") + 1, wc, F.lit("-"))),
+    ])
+    sheets_base = blocks.select("workbook", "sheet_idx", "suppkey", "year").distinct()
+    hdr = [s_cell(0, 7, "Location"), s_cell(0, 8, "Inspection programme"),
+           s_cell(1, 0, LOCATION_HEADER), s_cell(1, 1, "Description"),
+           s_cell(1, 2, "Survey Frequency"), s_cell(1, 3, "Platform Installation"),
+           s_cell(1, 4, "Last Inspection")]
+    for mth in range(12):
+        hdr.append(s_cell(1, start + 4 * mth, f"{MONTH_NAMES[mth]} 2018"))
+    for j in range(48):
+        hdr.append(s_cell(2, start + j, f"W{j % 4 + 1}"))
+    header_cells = explode_cells(sheets_base, ["workbook", "sheet_idx"], hdr)
+    cells = finish_cells(header_cells.unionByName(block_cells).unionByName(pair_cells)
+                         .unionByName(week_cells))
+    sheets = with_sheet_key(sheets_base.select(
+        "workbook", "sheet_idx", F.concat(F.lit("Y"), F.col("year").cast("string")).alias("sheet")))
+    w_decl = Window.partitionBy("workbook", "sheet_idx").orderBy("first_row")
+    block_merges = blocks.select(
+        "workbook", "sheet_idx", (F.row_number().over(w_decl) + 1).cast("int").alias("decl_idx"),
+        F.col("first_row").cast("int"), (F.col("last_pair_row") + 1).cast("int").alias("last_row"),
+        F.lit(0).alias("first_col"), F.lit(0).alias("last_col"))
+    fixed = F.array(
+        F.struct(F.lit(0).alias("decl_idx"), F.lit(0).alias("first_row"), F.lit(0).alias("last_row"),
+                 F.lit(7).alias("first_col"), F.lit(12).alias("last_col")),
+        F.struct(F.lit(1).alias("decl_idx"), F.lit(1).alias("first_row"), F.lit(2).alias("last_row"),
+                 F.lit(0).alias("first_col"), F.lit(0).alias("last_col")))
+    header_merges = (sheets_base.select("workbook", "sheet_idx", F.explode(fixed).alias("m"))
+                     .select("workbook", "sheet_idx", "m.*"))
+    merges = header_merges.unionByName(block_merges)
+    return Corpus(sheets, cells, merges)

@@ -161,4 +161,5 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
             F.array(*[text_percent(F.col(f"pct_text{q}")) for q in range(1, 5)]), F.isnan)),
             op, "percent text not a decimal"),
     ]
-    return ProgramResult(table, union_issues(issues))
+    return ProgramResult(table, union_issues(issues),
+                         {"form": form, "anchors": anchors, "values": vals, "record": r})

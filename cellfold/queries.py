@@ -169,7 +169,7 @@ lastpair AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY suppkey, yr, ptype, descr
                                                 ORDER BY brand DESC) AS rn FROM pr)
     WHERE rn = 1)
-SELECT 'supplier-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
        ptype AS Location, descr AS Description, CAST(min_size AS VARCHAR) AS Survey_Frequency,
        'PF-' || lower(ptype) AS Platform_Installation,
        strftime(last_ship, '%Y-%m-%d') AS Last_Inspection,
@@ -181,3 +181,8 @@ FROM lastpair
 @register("inspection_program_table", _g3_program_sql("slot // 12 + 1"))
 def q_inspection_program_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection_program(catalog.g3(spark, sf_dir)).table
+
+
+# Operator-level keys register themselves on import (they reuse the SQL
+# fragments above).
+from cellfold import queries_ops  # noqa: E402,F401

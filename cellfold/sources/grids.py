@@ -293,7 +293,7 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
     returned, otherwise the cell holds '-'. A decoy 'Location' sits in row 0.
     """
     slots = g3_slots(spark, sf_dir)
-    wb = F.concat(F.lit("supplier-"), F.col("suppkey").cast("string"))
+    wb = F.concat(F.lit("schedule-"), F.col("suppkey").cast("string"))
     sid = (F.col("year") - F.lit(1994)).cast("int")
     # per (sheet, type, brand): pair attributes
     pairs = (slots.groupBy("suppkey", "year", "ptype", "brand")

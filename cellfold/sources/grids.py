@@ -359,3 +359,34 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
                      .select("workbook", "sheet_idx", "m.*"))
     merges = header_merges.unionByName(block_merges)
     return Corpus(sheets, cells, merges)
+
+
+# ---------------------------------------------------------------------------
+# Planted faults (for the issues table)
+# ---------------------------------------------------------------------------
+
+def g1_with_faults(corpus: Corpus) -> Corpus:
+    """G1 with faults planted where the data is empty: a month with no
+    metered quantity has NO cell (missing cell), a month with no unplanned
+    quantity holds the text 'n/a' (not numeric)."""
+    c = corpus.cells
+    month_cell = (F.col("sheet_idx") > 0) & (F.col("ctype") == "numeric") & (F.col("num") == 0)
+    c = c.filter(~(month_cell & (F.col("row") == 1)))
+    na = month_cell & (F.col("row") == 2)
+    c = (c.withColumn("ctype", F.when(na, F.lit("string")).otherwise(F.col("ctype")))
+         .withColumn("str", F.when(na, F.lit("n/a")).otherwise(F.col("str")))
+         .withColumn("text", F.when(na, F.lit("n/a")).otherwise(F.col("text")))
+         .withColumn("text_key", F.when(na, F.lit("n/a")).otherwise(F.col("text_key")))
+         .withColumn("num", F.when(na, F.lit(None).cast("double")).otherwise(F.col("num"))))
+    return Corpus(corpus.sheets, c, corpus.merges)
+
+
+def g2_with_faults(corpus: Corpus) -> Corpus:
+    """G2 where a customer without orders has no form sheet (only the cover):
+    the form has no 'Last updated OP (year)' value then."""
+    no_orders = (corpus.cells.filter((F.col("sheet_idx") == 1) & (F.col("row") == 3))
+                 .groupBy("workbook").agg(F.count(F.lit(1)).alias("n"))
+                 .filter(F.col("n") == 1).select("workbook"))
+    drop = no_orders.withColumn("sheet_idx", F.lit(1))
+    keep = lambda df: df.join(drop, ["workbook", "sheet_idx"], "left_anti")
+    return Corpus(keep(corpus.sheets), keep(corpus.cells), keep(corpus.merges))

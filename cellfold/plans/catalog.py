@@ -1,20 +1,29 @@
-"""Corpus construction for the registered queries: derived grids per sf dir."""
+"""Corpus construction for the registered queries: grids derived from the
+sf tables and persisted once as bronze Parquet in the shared scratch folder
+(the checkpoint folder the session names), like decoded workbooks would be."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
+from cellfold.session import scratch_path
 from cellfold.sources import grids
-from cellfold.sources.bronze import Corpus
+from cellfold.sources.bronze import Corpus, materialize
+
+
+def _persist(spark: SparkSession, corpus: Corpus, name: str) -> Corpus:
+    return materialize(corpus, scratch_path(spark, f"bronze_{name}_{uuid.uuid4().hex}"))
 
 
 def g1(spark: SparkSession, sf_dir: str) -> Corpus:
-    return grids.g1_metric_grid(spark, sf_dir)
+    return _persist(spark, grids.g1_metric_grid(spark, sf_dir), "g1")
 
 
 def g2(spark: SparkSession, sf_dir: str) -> Corpus:
-    return grids.g2_form_grid(spark, sf_dir)
+    return _persist(spark, grids.g2_form_grid(spark, sf_dir), "g2")
 
 
 def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START) -> Corpus:
-    return grids.g3_schedule_grid(spark, sf_dir, start=start)
+    return _persist(spark, grids.g3_schedule_grid(spark, sf_dir, start=start), "g3")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,26 +74,52 @@ def finish_cells(cells: DataFrame) -> DataFrame:
             .select(*[F.col(f.name).cast(f.dataType) for f in CELLS_SCHEMA.fields]))
 
 
-def cell(row, col, ctype: str, num=None, s=None, text=None, formula=None) -> Column:
-    """One cell as a struct, for building grids with ``explode(array(...))``."""
-    def lit(v, t):
-        if v is None:
-            return F.lit(None).cast(t)
-        return v.cast(t) if isinstance(v, Column) else F.lit(v).cast(t)
-    return F.struct(lit(row, "int").alias("row"), lit(col, "int").alias("col"),
-                    F.lit(ctype).alias("ctype"), lit(num, "double").alias("num"),
-                    lit(s, "string").alias("str"), lit(formula, "string").alias("formula"),
-                    lit(text, "string").alias("text"))
+def sql_lit(v) -> str:
+    """A Python constant as SQL literal text."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
 
 
-def explode_cells(df: DataFrame, keys: list[str], cell_structs: list[Column]) -> DataFrame:
-    """Turn one row per sheet (or block) into one row per cell.
+def cell(row, col, ctype: str, num=None, s=None, text=None, formula=None,
+         when: str | None = None) -> str:
+    """One cell as SQL struct text, for building grids in a single projection.
 
-    ``cell_structs`` may hold NULL entries (absent cells); they are dropped.
+    ``row``/``col``/``num`` are SQL expressions (int/float constants allowed),
+    ``s``/``text``/``formula`` SQL expressions; wrap a Python string constant
+    with ``sql_lit``. ``when`` makes the cell conditional (absent otherwise).
     """
-    arr = F.filter(F.array(*cell_structs), lambda c: c.isNotNull())
-    return (df.select(*keys, F.explode(arr).alias("c"))
-            .select(*keys, "c.*"))
+    def x(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t})"
+        return f"CAST({v} AS {t})"
+    body = (f"named_struct('row', {x(row, 'INT')}, 'col', {x(col, 'INT')}, "
+            f"'ctype', '{ctype}', 'num', {x(num, 'DOUBLE')}, 'str', {x(s, 'STRING')}, "
+            f"'formula', {x(formula, 'STRING')}, 'text', {x(text, 'STRING')})")
+    return f"CASE WHEN {when} THEN {body} END" if when else body
+
+
+def string_cell(row, col, value: str, when: str | None = None) -> str:
+    """A string cell holding a constant."""
+    v = sql_lit(value)
+    return cell(row, col, "string", s=v, text=v, when=when)
+
+
+def number_text_sql(x: str) -> str:
+    """Plain rendering of a numeric cell as SQL: integers without a point,
+    else the shortest decimal text."""
+    return (f"CASE WHEN {x} = floor({x}) AND abs({x}) < 1e15 "
+            f"THEN CAST(CAST({x} AS BIGINT) AS STRING) ELSE CAST({x} AS STRING) END")
+
+
+def explode_cells(df: DataFrame, keys: list[str], cell_structs: list[str]) -> DataFrame:
+    """Turn one row per sheet (or block) into one row per cell, in ONE
+    projection (``inline`` of a struct array); NULL entries (absent cells)
+    are dropped."""
+    arr = "filter(array(" + ", ".join(cell_structs) + "), c -> c IS NOT NULL)"
+    return df.selectExpr(*keys, f"inline({arr})")
 
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
@@ -103,11 +129,24 @@ def read_corpus(spark: SparkSession, path: str) -> Corpus:
                   spark.read.parquet(f"{path}/merges"))
 
 
-def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite") -> None:
-    """Write bronze tables as Parquet, cells clustered by sheet and row so a
-    scan for a few rows of a sheet skips row groups by min/max statistics."""
+def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite",
+                 cluster: bool = True) -> None:
+    """Write bronze tables as Parquet. With ``cluster`` the cells are
+    co-located by (workbook, sheet_idx, row) and sorted by column within each
+    file, so a sheet's rows are contiguous and row-group statistics on
+    workbook/sheet/row prune scans for a few sheets."""
     corpus.sheets.write.mode(mode).parquet(f"{path}/sheets")
-    (corpus.cells.repartition("workbook", "sheet_idx", "row")
-     .sortWithinPartitions("workbook", "sheet_idx", "row", "col")
-     .write.mode(mode).parquet(f"{path}/cells"))
+    cells = corpus.cells
+    if cluster:
+        cells = (cells.repartition("workbook", "sheet_idx", "row")
+                 .sortWithinPartitions("workbook", "sheet_idx", "row", "col"))
+    cells.write.mode(mode).parquet(f"{path}/cells")
     corpus.merges.write.mode(mode).parquet(f"{path}/merges")
+
+
+def materialize(corpus: Corpus, path: str, cluster: bool = False) -> Corpus:
+    """Persist a derived corpus as bronze Parquet at ``path`` (shared storage)
+    and return the tables read back: later plans start from a plain scan
+    (pushdown, pruning, no recomputation) and survive executor loss."""
+    write_corpus(corpus, path, cluster=cluster)
+    return read_corpus(corpus.cells.sparkSession, path)

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellfold.sources.bronze import (Corpus, cell, explode_cells, finish_cells,
-                                     with_sheet_key)
-from cellfold.functions.metrics import format_number_text
+                                     number_text_sql, sql_lit, string_cell, with_sheet_key)
 
 # Month header texts of the metric grid, in calendar order.
 MONTH_ABBR = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
@@ -67,50 +66,38 @@ def g1_metric_grid(spark: SparkSession, sf_dir: str) -> Corpus:
     column that varies by workbook), metered row 1, unplanned row 2, a decoy
     unplanned row 3 whose unit is '%', and a decoy 'JAN' in row 4."""
     mon = g1_monthly(spark, sf_dir)
-    wb = F.concat(F.lit("supplier-"), F.col("suppkey").cast("string"))
-    start = F.lit(2) + F.pmod(F.col("suppkey"), F.lit(3)).cast("int")
     # sheet 0 is a summary tab; the year tabs follow in year order
-    sheet_idx = F.col("year") - F.lit(1994)
-    base = mon.select(wb.alias("workbook"), sheet_idx.cast("int").alias("sheet_idx"),
-                      "suppkey", "year", start.alias("start"),
-                      *[f"m{k}" for k in range(1, 13)], *[f"u{k}" for k in range(1, 13)])
-    s = F.col("start")
-    structs = [cell(0, 1, "string", s="Unit", text="Unit")]
-    for k in range(12):
-        structs.append(cell(0, s + k, "string", s=MONTH_ABBR[k], text=MONTH_ABBR[k]))
+    base = mon.selectExpr("concat('supplier-', CAST(suppkey AS STRING)) AS workbook",
+                          "CAST(year - 1994 AS INT) AS sheet_idx", "suppkey", "year",
+                          "2 + CAST(pmod(suppkey, 3) AS INT) AS start",
+                          *[f"m{k}" for k in range(1, 13)], *[f"u{k}" for k in range(1, 13)])
     met_label = " " + METERED_LABEL + "\t"
-    structs += [cell(1, 0, "string", s=met_label, text=met_label),
-                cell(1, 1, "string", s="bbl", text="bbl"),
-                cell(2, 0, "string", s=UNPLANNED_LABEL, text=UNPLANNED_LABEL),
-                cell(2, 1, "string", s="bbl", text="bbl"),
-                cell(3, 0, "string", s=UNPLANNED_LABEL.lower(), text=UNPLANNED_LABEL.lower()),
-                cell(3, 1, "string", s="%", text="%"),
-                cell(4, 0, "string", s="Remarks", text="Remarks"),
-                cell(4, s, "string", s="JAN", text="JAN")]
+    structs = [string_cell(0, 1, "Unit")]
+    structs += [string_cell(0, f"start + {k}", MONTH_ABBR[k]) for k in range(12)]
+    structs += [string_cell(1, 0, met_label), string_cell(1, 1, "bbl"),
+                string_cell(2, 0, UNPLANNED_LABEL), string_cell(2, 1, "bbl"),
+                string_cell(3, 0, UNPLANNED_LABEL.lower()), string_cell(3, 1, "%"),
+                string_cell(4, 0, "Remarks"), string_cell(4, "start", "JAN")]
     for k in range(12):
-        m, u = F.col(f"m{k + 1}"), F.col(f"u{k + 1}")
-        structs.append(cell(1, s + k, "numeric", num=m, text=format_number_text(m)))
-        structs.append(cell(2, s + k, "numeric", num=u, text=format_number_text(u)))
-        structs.append(cell(3, s + k, "numeric", num=F.lit(99.0), text="99"))
+        m, u = f"m{k + 1}", f"u{k + 1}"
+        structs.append(cell(1, f"start + {k}", "numeric", num=m, text=number_text_sql(m)))
+        structs.append(cell(2, f"start + {k}", "numeric", num=u, text=number_text_sql(u)))
+        structs.append(cell(3, f"start + {k}", "numeric", num="99.0", text="'99'"))
     year_cells = explode_cells(base, ["workbook", "sheet_idx"], structs)
 
-    wbs = base.select("workbook", "suppkey").distinct()
+    wbs = base.select("workbook", "suppkey").distinct().withColumn("sheet_idx", F.lit(0))
     summary_cells = explode_cells(
-        wbs.withColumn("sheet_idx", F.lit(0)), ["workbook", "sheet_idx"],
-        [cell(0, 0, "string", s="Summary", text="Summary"),
-         cell(1, 0, "string", s="Supplier", text="Supplier"),
-         cell(1, 1, "numeric", num=F.col("suppkey"),
-              text=F.col("suppkey").cast("string"))])
+        wbs, ["workbook", "sheet_idx"],
+        [string_cell(0, 0, "Summary"), string_cell(1, 0, "Supplier"),
+         cell(1, 1, "numeric", num="suppkey", text="CAST(suppkey AS STRING)")])
     cells = finish_cells(year_cells.unionByName(summary_cells))
 
     sheets = with_sheet_key(
         base.select("workbook", "sheet_idx",
                     g1_sheet_name(F.col("suppkey"), F.col("year")).alias("sheet"))
-        .unionByName(wbs.select("workbook", F.lit(0).alias("sheet_idx"),
-                                F.lit("Summary").alias("sheet"))))
-    merges = wbs.select("workbook", F.lit(0).alias("sheet_idx"), F.lit(0).alias("decl_idx"),
-                        F.lit(0).alias("first_row"), F.lit(0).alias("last_row"),
-                        F.lit(0).alias("first_col"), F.lit(3).alias("last_col"))
+        .unionByName(wbs.select("workbook", "sheet_idx", F.lit("Summary").alias("sheet"))))
+    merges = wbs.selectExpr("workbook", "sheet_idx", "0 AS decl_idx", "0 AS first_row",
+                            "0 AS last_row", "0 AS first_col", "3 AS last_col")
     return Corpus(sheets, cells, merges)
 
 
@@ -156,13 +143,12 @@ def g2_customer_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.groupBy("c_custkey", "c_name", "c_mktsegment").agg(*aggs)
 
 
-def g2_ratio_text(reviewed, planned) -> F.Column:
+def g2_ratio_text_sql(reviewed: str, planned: str) -> str:
     """reviewed/planned truncated to 4 decimals, as text ('0.3333'); '0' when
     nothing is planned. Integer arithmetic, so every engine writes the same."""
-    q4 = F.when(planned > 0, (reviewed * 10000 / planned).cast("bigint"))
-    frac = F.lpad(F.pmod(q4, F.lit(10000)).cast("string"), 4, "0")
-    whole = (q4 / 10000).cast("bigint").cast("string")
-    return F.when(planned > 0, F.concat(whole, F.lit("."), frac)).otherwise(F.lit("0"))
+    q4 = f"CAST({reviewed} * 10000 / {planned} AS BIGINT)"
+    return (f"CASE WHEN {planned} > 0 THEN concat(CAST(CAST({q4} / 10000 AS BIGINT) AS STRING), "
+            f"'.', lpad(CAST(pmod({q4}, 10000) AS STRING), 4, '0')) ELSE '0' END")
 
 
 def g2_form_grid(spark: SparkSession, sf_dir: str) -> Corpus:
@@ -175,72 +161,64 @@ def g2_form_grid(spark: SparkSession, sf_dir: str) -> Corpus:
     decoy 'Number planned for review' row sits at the bottom.
     """
     agg = g2_customer_quarters(spark, sf_dir)
-    wb = F.concat(F.lit("customer-"), F.col("c_custkey").cast("string"))
-    lc = F.when(F.pmod(F.col("c_custkey"), F.lit(3)) == 0, F.lit(1)).otherwise(F.lit(0))
-    sheet_name = F.when(F.pmod(F.col("c_custkey"), F.lit(5)) == 0,
-                        F.lit(" " + FORM_SHEET.lower())).otherwise(F.lit(FORM_SHEET))
-    base = agg.select(wb.alias("workbook"), F.lit(1).alias("sheet_idx"), lc.alias("lc"),
-                      sheet_name.alias("sheet"), "*")
-    L = F.col("lc")
-    V = L + FORM_VALUE_OFFSET
-
-    def s_cell(r, c, v):
+    base = agg.selectExpr(
+        "concat('customer-', CAST(c_custkey AS STRING)) AS workbook", "1 AS sheet_idx",
+        "CASE WHEN pmod(c_custkey, 3) = 0 THEN 1 ELSE 0 END AS lc",
+        f"CASE WHEN pmod(c_custkey, 5) = 0 THEN {sql_lit(' ' + FORM_SHEET.lower())} "
+        f"ELSE {sql_lit(FORM_SHEET)} END AS sheet", "*")
+    L, V = "lc", f"lc + {FORM_VALUE_OFFSET}"
+
+    def n_cell(r, c, v, when=None):
+        return cell(r, c, "numeric", num=v, text=number_text_sql(v), when=when)
+
+    def t_cell(r, c, v):
         return cell(r, c, "string", s=v, text=v)
 
-    def n_cell(r, c, v):
-        return cell(r, c, "numeric", num=v, text=format_number_text(v))
-
-    total_text = F.concat(F.col("n_f").cast("string"), F.lit(" + "), F.col("n_o").cast("string"))
-    structs = [s_cell(0, L, "Procedure adequacy form"),
-               s_cell(1, L, FORM_LABELS["total"]), s_cell(1, V, total_text),
-               s_cell(2, L, FORM_LABELS["outdated"]), n_cell(2, V, F.col("n_p")),
-               s_cell(3, L, FORM_LABELS["last_year"]),
-               F.when(F.col("last_year").isNotNull(),
-                      s_cell(3, V, F.col("last_year").cast("string"))),
-               s_cell(4, L, FORM_LABELS["planned"]),
-               s_cell(8, L, FORM_LABELS["reviewed"]),
-               s_cell(12, L, FORM_LABELS["carried"]),
-               s_cell(16, L, FORM_LABELS["pct"]),
-               s_cell(20, L, FORM_LABELS["element"]),
-               s_cell(25, L, FORM_LABELS["planned"]), n_cell(25, V, F.lit(999.0))]
+    total = "concat(CAST(n_f AS STRING), ' + ', CAST(n_o AS STRING))"
+    structs = [string_cell(0, L, "Procedure adequacy form"),
+               string_cell(1, L, FORM_LABELS["total"]), t_cell(1, V, total),
+               string_cell(2, L, FORM_LABELS["outdated"]), n_cell(2, V, "n_p"),
+               string_cell(3, L, FORM_LABELS["last_year"]),
+               cell(3, V, "string", s="CAST(last_year AS STRING)",
+                    text="CAST(last_year AS STRING)", when="last_year IS NOT NULL"),
+               string_cell(4, L, FORM_LABELS["planned"]),
+               string_cell(8, L, FORM_LABELS["reviewed"]),
+               string_cell(12, L, FORM_LABELS["carried"]),
+               string_cell(16, L, FORM_LABELS["pct"]),
+               string_cell(20, L, FORM_LABELS["element"]),
+               string_cell(25, L, FORM_LABELS["planned"]), n_cell(25, V, "999.0")]
     for k in range(1, 5):
-        p, r, c = F.col(f"planned{k}"), F.col(f"reviewed{k}"), F.col(f"carried{k}")
+        p, r, c = f"planned{k}", f"reviewed{k}", f"carried{k}"
         # planned: numeric when > 0, no cell at all when 0 (reads as blank)
-        structs.append(F.when(p > 0, n_cell(3 + k, V, p)))
+        structs.append(n_cell(3 + k, V, p, when=f"{p} > 0"))
         # reviewed: numeric when > 0, a styled blank cell when 0
-        structs.append(F.when(r > 0, n_cell(7 + k, V, r))
-                       .otherwise(cell(7 + k, V, "blank", text="")))
+        structs.append(n_cell(7 + k, V, r, when=f"{r} > 0"))
+        structs.append(cell(7 + k, V, "blank", text="''", when=f"{r} = 0"))
         # carried: always text
-        structs.append(s_cell(11 + k, V, c.cast("string")))
-        structs.append(s_cell(15 + k, V, g2_ratio_text(r, p)))
-    elements = [F.concat(F.lit("segment "), F.col("c_mktsegment")),
-                F.concat(F.lit("orders "), F.col("n_orders").cast("string")),
-                F.lit("(spare)"),
-                F.concat(F.lit("name "), F.col("c_name")),
-                F.concat(F.lit("late "), F.col("n_o").cast("string"))]
+        structs.append(t_cell(11 + k, V, f"CAST({c} AS STRING)"))
+        structs.append(t_cell(15 + k, V, g2_ratio_text_sql(r, p)))
+    elements = ["concat('segment ', c_mktsegment)",
+                "concat('orders ', CAST(n_orders AS STRING))", "'(spare)'",
+                "concat('name ', c_name)", "concat('late ', CAST(n_o AS STRING))"]
     for i, e in enumerate(elements):
-        structs.append(s_cell(20 + i, V, e))
+        structs.append(t_cell(20 + i, V, e))
     form_cells = explode_cells(base, ["workbook", "sheet_idx"], structs)
-    cover_cells = explode_cells(base.select("workbook", F.lit(0).alias("sheet_idx")),
-                                ["workbook", "sheet_idx"],
-                                [cell(0, 0, "string", s="Cover", text="Cover")])
+    cover = base.selectExpr("workbook", "0 AS sheet_idx")
+    cover_cells = explode_cells(cover, ["workbook", "sheet_idx"], [string_cell(0, 0, "Cover")])
     cells = finish_cells(form_cells.unionByName(cover_cells))
 
-    sheets = with_sheet_key(
-        base.select("workbook", "sheet_idx", "sheet")
-        .unionByName(base.select("workbook", F.lit(0).alias("sheet_idx"),
-                                 F.lit("Cover").alias("sheet"))))
+    sheets = with_sheet_key(base.select("workbook", "sheet_idx", "sheet").unionByName(
+        cover.withColumn("sheet", F.lit("Cover"))))
 
     def m(decl, r0, r1, c0, c1):
-        return F.struct(F.lit(decl).alias("decl_idx"), F.lit(r0).alias("first_row"),
-                        F.lit(r1).alias("last_row"), c0.cast("int").alias("first_col"),
-                        c1.cast("int").alias("last_col"))
-    spans = [m(0, 0, 0, L, L + 20), m(1, 1, 1, L, L + 20), m(2, 2, 2, L, L + 20),
-             m(3, 3, 3, L, L + 20), m(4, 4, 7, L, L + 20), m(5, 4, 5, V + 1, V + 2),
-             m(6, 8, 11, L, L + 20), m(7, 12, 15, L, L + 20), m(8, 16, 19, L, L + 20),
-             m(9, 20, 24, L, L + 20)]
-    merges = (base.select("workbook", "sheet_idx", F.explode(F.array(*spans)).alias("m"))
-              .select("workbook", F.col("sheet_idx").cast("int"), "m.*"))
+        return (f"named_struct('decl_idx', {decl}, 'first_row', {r0}, 'last_row', {r1}, "
+                f"'first_col', CAST({c0} AS INT), 'last_col', CAST({c1} AS INT))")
+    spans = [m(0, 0, 0, L, f"{L} + 20"), m(1, 1, 1, L, f"{L} + 20"), m(2, 2, 2, L, f"{L} + 20"),
+             m(3, 3, 3, L, f"{L} + 20"), m(4, 4, 7, L, f"{L} + 20"),
+             m(5, 4, 5, f"{V} + 1", f"{V} + 2"), m(6, 8, 11, L, f"{L} + 20"),
+             m(7, 12, 15, L, f"{L} + 20"), m(8, 16, 19, L, f"{L} + 20"),
+             m(9, 20, 24, L, f"{L} + 20")]
+    merges = base.selectExpr("workbook", "sheet_idx", f"inline(array({', '.join(spans)}))")
     return Corpus(sheets, cells, merges)
 
 
@@ -307,39 +285,37 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
     blocks = (pairs.groupBy("workbook", "sheet_idx", "suppkey", "year", "ptype")
               .agg(F.min("prow").alias("first_row"), F.max("prow").alias("last_pair_row")))
 
-    def s_cell(r, c, v):
-        return cell(r, c, "string", s=v, text=v)
+    def t_cell(r, c, v, when=None):
+        return cell(r, c, "string", s=v, text=v, when=when)
 
     pair_cells = explode_cells(pairs, ["workbook", "sheet_idx"], [
-        s_cell(F.col("prow"), 1, g3_description(F.col("brand"))),
-        s_cell(F.col("prow"), 2, F.col("min_size").cast("string")),
-        s_cell(F.col("prow"), 4, F.date_format("last_ship", "yyyy-MM-dd")),
+        t_cell("prow", 1, "substring(brand, 1, 7)"),
+        t_cell("prow", 2, "CAST(min_size AS STRING)"),
+        t_cell("prow", 4, "date_format(last_ship, 'yyyy-MM-dd')"),
     ])
     block_cells = explode_cells(blocks, ["workbook", "sheet_idx"], [
-        s_cell(F.col("first_row"), 0, F.col("ptype")),
-        s_cell(F.col("first_row"), 3, F.concat(F.lit("PF-"), F.lower(F.col("ptype")))),
+        t_cell("first_row", 0, "ptype"),
+        t_cell("first_row", 3, "concat('PF-', lower(ptype))"),
     ])
     sp = slots.join(pairs.select("suppkey", "year", "ptype", "brand", "prow", "workbook",
                                  "sheet_idx"), ["suppkey", "year", "ptype", "brand"])
-    wc = F.lit(start) + F.col("slot")
+    wc = f"{start} + slot"
     week_cells = explode_cells(sp, ["workbook", "sheet_idx"], [
-        F.when(F.col("n_open") > 0,
-               cell(F.col("prow"), wc, "numeric", num=F.col("n_open"),
-                    text=F.col("n_open").cast("string")))
-        .otherwise(s_cell(F.col("prow"), wc, F.lit("-"))),
-        F.when(F.col("returned") > 0,
-               cell(F.col("prow") + 1, wc, "numeric", num=F.lit(1.0), text="1"))
-        .otherwise(s_cell(F.col("prow") + 1, wc, F.lit("-"))),
+        cell("prow", wc, "numeric", num="n_open", text="CAST(n_open AS STRING)",
+             when="n_open > 0"),
+        string_cell("prow", wc, "-", when="n_open = 0"),
+        cell("prow + 1", wc, "numeric", num="1.0", text="'1'", when="returned > 0"),
+        string_cell("prow + 1", wc, "-", when="returned = 0"),
     ])
     sheets_base = blocks.select("workbook", "sheet_idx", "suppkey", "year").distinct()
-    hdr = [s_cell(0, 7, "Location"), s_cell(0, 8, "Inspection programme"),
-           s_cell(1, 0, LOCATION_HEADER), s_cell(1, 1, "Description"),
-           s_cell(1, 2, "Survey Frequency"), s_cell(1, 3, "Platform Installation"),
-           s_cell(1, 4, "Last Inspection")]
+    hdr = [string_cell(0, 7, "Location"), string_cell(0, 8, "Inspection programme"),
+           string_cell(1, 0, LOCATION_HEADER), string_cell(1, 1, "Description"),
+           string_cell(1, 2, "Survey Frequency"), string_cell(1, 3, "Platform Installation"),
+           string_cell(1, 4, "Last Inspection")]
     for mth in range(12):
-        hdr.append(s_cell(1, start + 4 * mth, f"{MONTH_NAMES[mth]} 2018"))
+        hdr.append(string_cell(1, start + 4 * mth, f"{MONTH_NAMES[mth]} 2018"))
     for j in range(48):
-        hdr.append(s_cell(2, start + j, f"W{j % 4 + 1}"))
+        hdr.append(string_cell(2, start + j, f"W{j % 4 + 1}"))
     header_cells = explode_cells(sheets_base, ["workbook", "sheet_idx"], hdr)
     cells = finish_cells(header_cells.unionByName(block_cells).unionByName(pair_cells)
                          .unionByName(week_cells))

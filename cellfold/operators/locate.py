@@ -122,6 +122,20 @@ def find_label_any(cells: DataFrame, label: str) -> DataFrame:
     return p.select(*SHEET, pos_row(F.col("p")).alias("row"), pos_col(F.col("p")).alias("col"))
 
 
+def find_labels_any(cells: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """P-03 for several labels in ONE filtered pass: per sheet, for each
+    role, the (row, col) of the last cell reading its label (NULL if none).
+    Output: workbook, sheet_idx, <role>_row, <role>_col per role."""
+    keys = {r: label_key(lbl) for r, lbl in labels.items()}
+    p = (cells.filter(F.col("text_key").isin(list(keys.values())))
+         .groupBy(*SHEET)
+         .agg(*[F.max(F.when(F.col("text_key") == k, pos_key())).alias(r) for r, k in keys.items()]))
+    out = [*SHEET]
+    for r in keys:
+        out += [pos_row(F.col(r)).alias(f"{r}_row"), pos_col(F.col(r)).alias(f"{r}_col")]
+    return p.select(*out)
+
+
 # --------------------------------------------------------------------------
 # P-05 / F-03 header anchor on a row whose first column is blank
 # --------------------------------------------------------------------------

@@ -148,5 +148,8 @@ def materialize(corpus: Corpus, path: str, cluster: bool = False) -> Corpus:
     """Persist a derived corpus as bronze Parquet at ``path`` (shared storage)
     and return the tables read back: later plans start from a plain scan
     (pushdown, pruning, no recomputation) and survive executor loss."""
+    from cellfold.operators.locate import assert_unique_sheet_ids
     write_corpus(corpus, path, cluster=cluster)
-    return read_corpus(corpus.cells.sparkSession, path)
+    out = read_corpus(corpus.cells.sparkSession, path)
+    assert_unique_sheet_ids(out.sheets)
+    return out

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellfold.session import cut_lineage
 from cellfold.sources.bronze import (Corpus, cell, explode_cells, finish_cells,
                                      number_text_sql, sql_lit, string_cell, with_sheet_key)
 
@@ -270,7 +271,10 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
     is numeric when a line has status O, completed numeric when a line was
     returned, otherwise the cell holds '-'. A decoy 'Location' sits in row 0.
     """
-    slots = g3_slots(spark, sf_dir)
+    # slots and pairs feed several branches (cells of four kinds, merges,
+    # sheets): cut their lineage once instead of recomputing the join and
+    # windows per branch (reliable checkpoints in the shared folder)
+    slots = cut_lineage(g3_slots(spark, sf_dir))
     wb = F.concat(F.lit("schedule-"), F.col("suppkey").cast("string"))
     sid = (F.col("year") - F.lit(1994)).cast("int")
     # per (sheet, type, brand): pair attributes
@@ -282,6 +286,7 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
              .withColumn("brand_ord", F.row_number().over(w_type) - 1)
              .withColumn("prow", F.lit(3) + F.col("pair_ord") * 2)
              .withColumn("workbook", wb).withColumn("sheet_idx", sid))
+    pairs = cut_lineage(pairs)
     blocks = (pairs.groupBy("workbook", "sheet_idx", "suppkey", "year", "ptype")
               .agg(F.min("prow").alias("first_row"), F.max("prow").alias("last_pair_row")))
 

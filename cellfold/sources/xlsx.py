@@ -318,7 +318,11 @@ def ingest(spark: SparkSession, path: str, bronze_path: str | None = None) -> tu
     if bronze_path:
         decoded.write.mode("overwrite").partitionBy("kind").parquet(bronze_path)
         decoded = spark.read.parquet(bronze_path)
-    return to_corpus(decoded)
+    corpus, errors = to_corpus(decoded)
+    if bronze_path:
+        from cellfold.operators.locate import assert_unique_sheet_ids
+        assert_unique_sheet_ids(corpus.sheets)
+    return corpus, errors
 
 
 # ---------------------------------------------------------------------------

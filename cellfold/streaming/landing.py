@@ -22,6 +22,10 @@ from cellfold.plans.dispatch import run_jobs
 from cellfold.sources.xlsx import decode, to_corpus
 
 
+# The binaryFile source's fixed schema (a streaming source needs it declared).
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def _kind_of(path_col: str = "workbook") -> F.Column:
     """Job kind = name of the folder holding the file."""
     return F.element_at(F.split(F.col(path_col), "/"), -2)
@@ -55,7 +59,7 @@ def start(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_locati
           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the landing-folder job. ``available_now`` processes what is there
     and stops (scheduled runs); otherwise it keeps polling."""
-    reader = (spark.readStream.format("binaryFile")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

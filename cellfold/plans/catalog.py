@@ -1,6 +1,11 @@
 """Corpus construction for the registered queries: grids derived from the
-sf tables and persisted once as bronze Parquet in the shared scratch folder
-(the checkpoint folder the session names), like decoded workbooks would be."""
+sf tables and persisted as bronze Parquet in the shared scratch folder (the
+checkpoint folder the session names), like decoded workbooks would be.
+
+Bronze is written once per Spark application and input folder and then read
+by every program that needs it (decode once, query many times). A new
+application derives it again; the written tables survive executor loss.
+"""
 
 from __future__ import annotations
 
@@ -12,18 +17,25 @@ from cellfold.session import scratch_path
 from cellfold.sources import grids
 from cellfold.sources.bronze import Corpus, materialize
 
+_BRONZE: dict[tuple, Corpus] = {}
+
 
-def _persist(spark: SparkSession, corpus: Corpus, name: str) -> Corpus:
-    return materialize(corpus, scratch_path(spark, f"bronze_{name}_{uuid.uuid4().hex}"))
+def _bronze(spark: SparkSession, key: tuple, build) -> Corpus:
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _BRONZE:
+        name = "_".join(str(x) for x in key[:1] + key[2:])
+        _BRONZE[k] = materialize(build(), scratch_path(spark, f"bronze_{name}_{uuid.uuid4().hex}"))
+    return _BRONZE[k]
 
 
 def g1(spark: SparkSession, sf_dir: str) -> Corpus:
-    return _persist(spark, grids.g1_metric_grid(spark, sf_dir), "g1")
+    return _bronze(spark, ("g1", sf_dir), lambda: grids.g1_metric_grid(spark, sf_dir))
 
 
 def g2(spark: SparkSession, sf_dir: str) -> Corpus:
-    return _persist(spark, grids.g2_form_grid(spark, sf_dir), "g2")
+    return _bronze(spark, ("g2", sf_dir), lambda: grids.g2_form_grid(spark, sf_dir))
 
 
 def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START) -> Corpus:
-    return _persist(spark, grids.g3_schedule_grid(spark, sf_dir, start=start), "g3")
+    return _bronze(spark, ("g3", sf_dir, start),
+                   lambda: grids.g3_schedule_grid(spark, sf_dir, start=start))

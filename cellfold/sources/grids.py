@@ -66,7 +66,8 @@ def g1_metric_grid(spark: SparkSession, sf_dir: str) -> Corpus:
     """G1. Per sheet: header row 0 (col 0 empty, 'Jan'..'Dec' from a start
     column that varies by workbook), metered row 1, unplanned row 2, a decoy
     unplanned row 3 whose unit is '%', and a decoy 'JAN' in row 4."""
-    mon = g1_monthly(spark, sf_dir)
+    # the monthly sums feed cells, sheets and merges: compute them once
+    mon = cut_lineage(g1_monthly(spark, sf_dir))
     # sheet 0 is a summary tab; the year tabs follow in year order
     base = mon.selectExpr("concat('supplier-', CAST(suppkey AS STRING)) AS workbook",
                           "CAST(year - 1994 AS INT) AS sheet_idx", "suppkey", "year",
@@ -161,7 +162,8 @@ def g2_form_grid(spark: SparkSession, sf_dir: str) -> Corpus:
     planned row (the first declared one fixes the height), and an unmerged
     decoy 'Number planned for review' row sits at the bottom.
     """
-    agg = g2_customer_quarters(spark, sf_dir)
+    # the per-customer figures feed cells, sheets and merges: compute them once
+    agg = cut_lineage(g2_customer_quarters(spark, sf_dir))
     base = agg.selectExpr(
         "concat('customer-', CAST(c_custkey AS STRING)) AS workbook", "1 AS sheet_idx",
         "CASE WHEN pmod(c_custkey, 3) = 0 THEN 1 ELSE 0 END AS lc",

@@ -104,16 +104,8 @@ def guarded_percent(all_planned_zero, c) -> Column:
     return F.when(_c(all_planned_zero), nan()).otherwise(text_percent(c))
 
 
-def format_number_text(num) -> Column:
-    """Plain rendering of a numeric cell: integers without a point, else the
-    shortest decimal text."""
-    n = _c(num)
-    is_int = (n == F.floor(n)) & (F.abs(n) < F.lit(1e15))
-    return F.when(is_int, n.cast("bigint").cast("string")).otherwise(n.cast("string"))
-
-
 __all__ = [
     "nan", "numeric_read", "numeric_read_error", "string_read", "clamp_nonneg",
     "round_half_up", "efficiency_pct", "completion_pct", "parse_decimal_text",
-    "text_percent", "guarded_percent", "format_number_text", "jtrim",
+    "text_percent", "guarded_percent", "jtrim",
 ]

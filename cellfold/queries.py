@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cellfold.plans import catalog
 from cellfold.plans.efficiency import equipment_efficiency

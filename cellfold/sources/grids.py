@@ -272,75 +272,73 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
     completed row). Week cells exist only where a line was shipped: planned
     is numeric when a line has status O, completed numeric when a line was
     returned, otherwise the cell holds '-'. A decoy 'Location' sits in row 0.
+
+    One windowed pass over the slot table places every slot (pair row =
+    rank of (type, brand) in the sheet) and marks the first slot of each
+    pair, block and sheet, which also emit the pair, block and header cells;
+    the windows share the (supplier, year) partitioning, so one shuffle.
     """
-    # slots and pairs feed several branches (cells of four kinds, merges,
-    # sheets): cut their lineage once instead of recomputing the join and
-    # windows per branch (reliable checkpoints in the shared folder)
-    slots = cut_lineage(g3_slots(spark, sf_dir))
-    wb = F.concat(F.lit("schedule-"), F.col("suppkey").cast("string"))
-    sid = (F.col("year") - F.lit(1994)).cast("int")
-    # per (sheet, type, brand): pair attributes
-    pairs = (slots.groupBy("suppkey", "year", "ptype", "brand")
-             .agg(F.min("min_size").alias("min_size"), F.max("last_ship").alias("last_ship")))
-    w_sheet = Window.partitionBy("suppkey", "year").orderBy("ptype", "brand")
-    w_type = Window.partitionBy("suppkey", "year", "ptype").orderBy("brand")
-    pairs = (pairs.withColumn("pair_ord", F.row_number().over(w_sheet) - 1)
-             .withColumn("brand_ord", F.row_number().over(w_type) - 1)
-             .withColumn("prow", F.lit(3) + F.col("pair_ord") * 2)
-             .withColumn("workbook", wb).withColumn("sheet_idx", sid))
-    pairs = cut_lineage(pairs)
-    blocks = (pairs.groupBy("workbook", "sheet_idx", "suppkey", "year", "ptype")
-              .agg(F.min("prow").alias("first_row"), F.max("prow").alias("last_pair_row")))
+    slots = g3_slots(spark, sf_dir)
+    sheet_w = ["suppkey", "year"]
+    by_pair = Window.partitionBy(*sheet_w, "ptype", "brand")
+    by_block = Window.partitionBy(*sheet_w, "ptype")
+    placed = (slots
+              .withColumn("prow", 1 + 2 * F.dense_rank().over(
+                  Window.partitionBy(*sheet_w).orderBy("ptype", "brand")))
+              .withColumn("decl_idx", 1 + F.dense_rank().over(
+                  Window.partitionBy(*sheet_w).orderBy("ptype")))
+              .withColumn("pair_first", F.row_number().over(by_pair.orderBy("slot")) == 1)
+              .withColumn("pair_size", F.min("min_size").over(by_pair))
+              .withColumn("pair_ship", F.max("last_ship").over(by_pair))
+              .withColumn("block_first", F.row_number().over(by_block.orderBy("brand", "slot")) == 1)
+              .withColumn("block_first_row", F.min("prow").over(by_block))
+              .withColumn("block_last_row", F.max("prow").over(by_block) + 1)
+              .withColumn("sheet_first", F.row_number().over(
+                  Window.partitionBy(*sheet_w).orderBy("ptype", "brand", "slot")) == 1)
+              .withColumn("workbook", F.concat(F.lit("schedule-"), F.col("suppkey").cast("string")))
+              .withColumn("sheet_idx", (F.col("year") - F.lit(1994)).cast("int")))
+    # cells, merges and sheets all read the placed slots: compute them once
+    placed = cut_lineage(placed)
 
     def t_cell(r, c, v, when=None):
         return cell(r, c, "string", s=v, text=v, when=when)
 
-    pair_cells = explode_cells(pairs, ["workbook", "sheet_idx"], [
-        t_cell("prow", 1, "substring(brand, 1, 7)"),
-        t_cell("prow", 2, "CAST(min_size AS STRING)"),
-        t_cell("prow", 4, "date_format(last_ship, 'yyyy-MM-dd')"),
-    ])
-    block_cells = explode_cells(blocks, ["workbook", "sheet_idx"], [
-        t_cell("first_row", 0, "ptype"),
-        t_cell("first_row", 3, "concat('PF-', lower(ptype))"),
-    ])
-    sp = slots.join(pairs.select("suppkey", "year", "ptype", "brand", "prow", "workbook",
-                                 "sheet_idx"), ["suppkey", "year", "ptype", "brand"])
     wc = f"{start} + slot"
-    week_cells = explode_cells(sp, ["workbook", "sheet_idx"], [
+    structs = [
+        # week cells of every slot
         cell("prow", wc, "numeric", num="n_open", text="CAST(n_open AS STRING)",
              when="n_open > 0"),
         string_cell("prow", wc, "-", when="n_open = 0"),
         cell("prow + 1", wc, "numeric", num="1.0", text="'1'", when="returned > 0"),
         string_cell("prow + 1", wc, "-", when="returned = 0"),
-    ])
-    sheets_base = blocks.select("workbook", "sheet_idx", "suppkey", "year").distinct()
-    hdr = [string_cell(0, 7, "Location"), string_cell(0, 8, "Inspection programme"),
-           string_cell(1, 0, LOCATION_HEADER), string_cell(1, 1, "Description"),
-           string_cell(1, 2, "Survey Frequency"), string_cell(1, 3, "Platform Installation"),
-           string_cell(1, 4, "Last Inspection")]
-    for mth in range(12):
-        hdr.append(string_cell(1, start + 4 * mth, f"{MONTH_NAMES[mth]} 2018"))
-    for j in range(48):
-        hdr.append(string_cell(2, start + j, f"W{j % 4 + 1}"))
-    header_cells = explode_cells(sheets_base, ["workbook", "sheet_idx"], hdr)
-    cells = finish_cells(header_cells.unionByName(block_cells).unionByName(pair_cells)
-                         .unionByName(week_cells))
-    sheets = with_sheet_key(sheets_base.select(
-        "workbook", "sheet_idx", F.concat(F.lit("Y"), F.col("year").cast("string")).alias("sheet")))
-    w_decl = Window.partitionBy("workbook", "sheet_idx").orderBy("first_row")
-    block_merges = blocks.select(
-        "workbook", "sheet_idx", (F.row_number().over(w_decl) + 1).cast("int").alias("decl_idx"),
-        F.col("first_row").cast("int"), (F.col("last_pair_row") + 1).cast("int").alias("last_row"),
-        F.lit(0).alias("first_col"), F.lit(0).alias("last_col"))
-    fixed = F.array(
-        F.struct(F.lit(0).alias("decl_idx"), F.lit(0).alias("first_row"), F.lit(0).alias("last_row"),
-                 F.lit(7).alias("first_col"), F.lit(12).alias("last_col")),
-        F.struct(F.lit(1).alias("decl_idx"), F.lit(1).alias("first_row"), F.lit(2).alias("last_row"),
-                 F.lit(0).alias("first_col"), F.lit(0).alias("last_col")))
-    header_merges = (sheets_base.select("workbook", "sheet_idx", F.explode(fixed).alias("m"))
-                     .select("workbook", "sheet_idx", "m.*"))
-    merges = header_merges.unionByName(block_merges)
+        # pair cells, once per pair
+        t_cell("prow", 1, "substring(brand, 1, 7)", when="pair_first"),
+        t_cell("prow", 2, "CAST(pair_size AS STRING)", when="pair_first"),
+        t_cell("prow", 4, "date_format(pair_ship, 'yyyy-MM-dd')", when="pair_first"),
+        # block cells, once per location block
+        t_cell("block_first_row", 0, "ptype", when="block_first"),
+        t_cell("block_first_row", 3, "concat('PF-', lower(ptype))", when="block_first"),
+    ]
+    hdr = [("0", 7, "Location"), ("0", 8, "Inspection programme"),
+           ("1", 0, LOCATION_HEADER), ("1", 1, "Description"), ("1", 2, "Survey Frequency"),
+           ("1", 3, "Platform Installation"), ("1", 4, "Last Inspection")]
+    hdr += [("1", start + 4 * m, f"{MONTH_NAMES[m]} 2018") for m in range(12)]
+    hdr += [("2", start + j, f"W{j % 4 + 1}") for j in range(48)]
+    structs += [string_cell(r, c, v, when="sheet_first") for r, c, v in hdr]
+    cells = finish_cells(explode_cells(placed, ["workbook", "sheet_idx"], structs))
+
+    sheets = with_sheet_key(placed.filter("sheet_first").selectExpr(
+        "workbook", "sheet_idx", "concat('Y', CAST(year AS STRING)) AS sheet"))
+
+    def m(decl, r0, r1, c0, c1, when):
+        return (f"CASE WHEN {when} THEN named_struct('decl_idx', CAST({decl} AS INT), "
+                f"'first_row', CAST({r0} AS INT), 'last_row', CAST({r1} AS INT), "
+                f"'first_col', {c0}, 'last_col', {c1}) END")
+    spans = [m(0, 0, 0, 7, 12, "sheet_first"), m(1, 1, 2, 0, 0, "sheet_first"),
+             m("decl_idx", "block_first_row", "block_last_row", 0, 0, "block_first")]
+    merges = placed.filter("sheet_first OR block_first").selectExpr(
+        "workbook", "sheet_idx",
+        f"inline(filter(array({', '.join(spans)}), x -> x IS NOT NULL))")
     return Corpus(sheets, cells, merges)
 
 

@@ -36,6 +36,7 @@ def g2(spark: SparkSession, sf_dir: str) -> Corpus:
     return _bronze(spark, ("g2", sf_dir), lambda: grids.g2_form_grid(spark, sf_dir))
 
 
-def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START) -> Corpus:
-    return _bronze(spark, ("g3", sf_dir, start),
-                   lambda: grids.g3_schedule_grid(spark, sf_dir, start=start))
+def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START,
+       blocks: str = "type") -> Corpus:
+    return _bronze(spark, ("g3", sf_dir, start, blocks),
+                   lambda: grids.g3_schedule_grid(spark, sf_dir, start=start, blocks=blocks))

@@ -845,8 +845,75 @@ def q_orc_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.orc(target)
 
 
-@register("region_carryover_compat", None)
+def _carryover_sql() -> str:
+    """Oracle of the Q-03 carry-over over the brand-block schedule grid.
+
+    Regions of the location column are numbered per sheet (header block 1,
+    then the brand blocks in row order); for each sheet, ordinals up to the
+    largest count so far take the region of the latest sheet (this or an
+    earlier one) that has that ordinal, and its rows are read on the CURRENT
+    sheet: a pair row there gives its values, any other row reads empty.
+    """
+    counts = ", ".join(
+        f"count(CASE WHEN slot // 12 + 1 = {k} AND n_open > 0 THEN 1 END) AS p{k}, "
+        f"count(CASE WHEN slot // 12 + 1 = {k} AND returned = 1 THEN 1 END) AS c{k}"
+        for k in range(1, 5))
+    last = ", ".join(f"arg_max(p{k}, x) AS p{k}, arg_max(c{k}, x) AS c{k}" for k in range(1, 5))
+    pct = ", ".join(f"{_pct_sql(k)} AS Quarter{k}" for k in range(1, 5))
+    slots = _g3_slots_sql().replace("p_type AS ptype", "p_brand AS ptype").replace(
+        "p_brand AS brand", "p_type AS brand")
+    return f"""
+WITH s AS ({slots}),
+pr AS (SELECT suppkey, yr, ptype AS loc, brand AS item, min(min_size) AS min_size,
+              max(last_ship) AS last_ship, {counts}
+       FROM s GROUP BY 1, 2, 3, 4),
+pr2 AS (SELECT *, 1 + 2 * dense_rank() OVER (PARTITION BY suppkey, yr ORDER BY loc, item) AS prow
+        FROM pr),
+blk AS (SELECT suppkey, yr, loc, min(prow) AS first_row, max(prow) + 1 AS last_row
+        FROM pr2 GROUP BY 1, 2, 3),
+own AS (SELECT DISTINCT suppkey, yr, 1 AS ord, 1 AS first_row, 2 AS last_row FROM pr2
+        UNION ALL
+        SELECT suppkey, yr, 1 + row_number() OVER (PARTITION BY suppkey, yr ORDER BY first_row),
+               first_row, last_row FROM blk),
+nreg AS (SELECT suppkey, yr, count(*) AS n FROM own GROUP BY 1, 2),
+sh AS (SELECT suppkey, yr, max(n) OVER (PARTITION BY suppkey ORDER BY yr
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m
+       FROM nreg),
+g AS (SELECT suppkey, yr, unnest(range(1, m + 1)) AS ord FROM sh),
+eff AS (SELECT g.suppkey, g.yr, g.ord, arg_max(own.first_row, own.yr) AS first_row,
+               arg_max(own.last_row, own.yr) AS last_row
+        FROM g JOIN own ON own.suppkey = g.suppkey AND own.ord = g.ord AND own.yr <= g.yr
+        GROUP BY 1, 2, 3),
+xs AS (SELECT suppkey, yr, ord, first_row, unnest(range(first_row, last_row + 1, 2)) AS x
+       FROM eff),
+r AS (SELECT xs.suppkey, xs.yr, xs.ord, xs.x,
+             CASE WHEN xs.x = 1 THEN 'Description' ELSE coalesce(p.item, '') END AS descr,
+             CASE WHEN xs.x = 1 THEN 'Survey Frequency'
+                  ELSE coalesce(CAST(p.min_size AS VARCHAR), '') END AS freq,
+             CASE WHEN xs.x = 1 THEN 'Last Inspection'
+                  ELSE coalesce(strftime(p.last_ship, '%Y-%m-%d'), '') END AS last_insp,
+             {", ".join(f"coalesce(p.p{k}, 0) AS p{k}, coalesce(p.c{k}, 0) AS c{k}" for k in range(1, 5))}
+      FROM xs LEFT JOIN pr2 p ON p.suppkey = xs.suppkey AND p.yr = xs.yr AND p.prow = xs.x),
+d AS (SELECT suppkey, yr, ord, descr, arg_max(freq, x) AS freq, arg_max(last_insp, x) AS last_insp,
+             {last}
+      FROM r GROUP BY 1, 2, 3, 4),
+l AS (SELECT eff.suppkey, eff.yr, eff.ord,
+             CASE WHEN eff.first_row = 1 THEN 'Location' ELSE coalesce(b.loc, '') END AS Location,
+             CASE WHEN eff.first_row = 1 THEN 'Platform Installation'
+                  ELSE coalesce('PF-' || lower(b.loc), '') END AS Platform_Installation
+      FROM eff LEFT JOIN blk b ON b.suppkey = eff.suppkey AND b.yr = eff.yr
+                              AND b.first_row = eff.first_row)
+SELECT 'schedule-' || CAST(d.suppkey AS VARCHAR) AS workbook, CAST(d.yr - 1994 AS INTEGER) AS sheet_idx,
+       l.Location, d.descr AS Description, d.freq AS Survey_Frequency, l.Platform_Installation,
+       d.last_insp AS Last_Inspection, {pct}
+FROM d JOIN l ON l.suppkey = d.suppkey AND l.yr = d.yr AND l.ord = d.ord
+WHERE l.Location <> 'Location'
+"""
+
+
+@register("region_carryover_compat", _carryover_sql())
 def q_region_carryover_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q-03 compat (rows-only check here; exact semantics are tested against a
-    row-wise model on small fixtures in tests/)."""
-    return inspection_program(catalog.g3(spark, sf_dir), compat_regions=True).table
+    """Q-03 compat over the schedule grid with a block per brand: the number of
+    blocks varies by sheet, so later sheets re-read regions left by earlier ones."""
+    return inspection_program(catalog.g3(spark, sf_dir, blocks="brand"),
+                              compat_regions=True).table

@@ -237,18 +237,24 @@ MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July",
 WEEK_START = 49
 
 
-def g3_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def g3_slots(spark: SparkSession, sf_dir: str, blocks: str = "type") -> DataFrame:
     """Per (supplier, ship year, part type, brand, week slot 0..47): whether a
-    line is shipped with status O (planned) and whether one is returned (R)."""
+    line is shipped with status O (planned) and whether one is returned (R).
+
+    ``blocks='type'``: a location block per part type with a pair per brand
+    (``loc``=type, ``item``=brand); ``blocks='brand'``: a block per brand with
+    a pair per part type. The brand variant has a varying number of blocks
+    per sheet, so later sheets often have fewer regions than earlier ones."""
     li = _table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_shipdate", "l_linestatus", "l_returnflag")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     j = li.join(part, li.l_partkey == part.p_partkey)
     slot = ((F.month("l_shipdate") - 1) * 4
             + F.least(F.lit(3), F.floor((F.dayofmonth("l_shipdate") - 1) / 8)).cast("int"))
+    loc, item = ("p_type", "p_brand") if blocks == "type" else ("p_brand", "p_type")
     return (j.groupBy(F.col("l_suppkey").alias("suppkey"),
                       F.year("l_shipdate").alias("year"),
-                      F.col("p_type").alias("ptype"), F.col("p_brand").alias("brand"),
+                      F.col(loc).alias("ptype"), F.col(item).alias("brand"),
                       slot.alias("slot"))
             .agg(F.count(F.when(F.col("l_linestatus") == "O", 1)).alias("n_open"),
                  F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"),
@@ -262,7 +268,8 @@ def g3_description(brand) -> F.Column:
     return F.substring(brand, 1, 7)
 
 
-def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START) -> Corpus:
+def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START,
+                     blocks: str = "type") -> Corpus:
     """G3. One workbook per supplier, one sheet per ship year.
 
     Row 1 is the header ('Location' in column 0, month headers from column
@@ -278,7 +285,9 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
     pair, block and sheet, which also emit the pair, block and header cells;
     the windows share the (supplier, year) partitioning, so one shuffle.
     """
-    slots = g3_slots(spark, sf_dir)
+    # columns 'ptype' / 'brand' hold the block key / pair key of the variant
+    slots = g3_slots(spark, sf_dir, blocks)
+    desc = "substring(brand, 1, 7)" if blocks == "type" else "brand"
     sheet_w = ["suppkey", "year"]
     by_pair = Window.partitionBy(*sheet_w, "ptype", "brand")
     by_block = Window.partitionBy(*sheet_w, "ptype")
@@ -312,7 +321,7 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START)
         cell("prow + 1", wc, "numeric", num="1.0", text="'1'", when="returned > 0"),
         string_cell("prow + 1", wc, "-", when="returned = 0"),
         # pair cells, once per pair
-        t_cell("prow", 1, "substring(brand, 1, 7)", when="pair_first"),
+        t_cell("prow", 1, desc, when="pair_first"),
         t_cell("prow", 2, "CAST(pair_size AS STRING)", when="pair_first"),
         t_cell("prow", 4, "date_format(pair_ship, 'yyyy-MM-dd')", when="pair_first"),
         # block cells, once per location block

@@ -124,23 +124,27 @@ def explode_cells(df: DataFrame, keys: list[str], cell_structs: list[str]) -> Da
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
     """Read a bronze corpus written by ``write_corpus`` (Parquet)."""
-    return Corpus(spark.read.parquet(f"{path}/sheets"),
-                  spark.read.parquet(f"{path}/cells"),
+    cells = spark.read.parquet(f"{path}/cells").select(*[f.name for f in CELLS_SCHEMA.fields])
+    return Corpus(spark.read.parquet(f"{path}/sheets"), cells,
                   spark.read.parquet(f"{path}/merges"))
 
 
 def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite",
                  cluster: bool = True) -> None:
-    """Write bronze tables as Parquet. With ``cluster`` the cells are
-    co-located by (workbook, sheet_idx, row) and sorted by column within each
-    file, so a sheet's rows are contiguous and row-group statistics on
-    workbook/sheet/row prune scans for a few sheets."""
+    """Write bronze tables as Parquet.
+
+    ``cells`` is partitioned by ``ctype`` (at most six values): a step that
+    reads one kind of cell (the week counts read numeric cells only) prunes
+    whole partitions. With ``cluster`` the cells are also co-located by
+    (workbook, sheet_idx, row) and sorted by column within each file, so a
+    sheet's rows are contiguous and row-group statistics prune scans for a
+    few sheets."""
     corpus.sheets.write.mode(mode).parquet(f"{path}/sheets")
     cells = corpus.cells
     if cluster:
         cells = (cells.repartition("workbook", "sheet_idx", "row")
                  .sortWithinPartitions("workbook", "sheet_idx", "row", "col"))
-    cells.write.mode(mode).parquet(f"{path}/cells")
+    cells.write.mode(mode).partitionBy("ctype").parquet(f"{path}/cells")
     corpus.merges.write.mode(mode).parquet(f"{path}/merges")
 
 

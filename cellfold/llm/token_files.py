@@ -28,6 +28,8 @@ from cellfold.llm.pfor import File, encode_file
 from cellfold.session import scratch_path
 
 END_ID = 1
+RANGES = 10_000  # at most; bounds what is sent to every task about them
+_FILES = "range int, file int, first long, n_docs long, n_ids long, data binary"
 
 
 class WordEncoder:
@@ -122,20 +124,22 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str,
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
-                      text_col: str = "text", file_ids: int = 1 << 19, range_chars: int = 16 << 20,
+                      text_col: str = "text", file_ids: int = 1 << 19, range_chars: int = 4 << 20,
                       block: int = 4096, percentile: float = 0.95) -> None:
-    """Write the ids of all documents to ``path``: rows (range, file, n_docs, n_ids, data).
+    """Write the ids of all documents to ``path``: one row per file, with the number
+    of ids before it in its range (``first``).
 
     Files ordered by (range, file) hold the documents by ascending id, nulls
     first; repeated ids go by their ids' bytes. Null and empty texts have the
     end id alone. A file ends with the document that takes it past
-    ``file_ids`` ids. vocabulary: path of a tokenizer file that executors can
+    ``file_ids`` ids. Ranges hold about ``range_chars`` characters, and more
+    where there would be over RANGES of them. vocabulary: path of a tokenizer file that executors can
     read. An empty table writes no files. Other columns are not read.
     """
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.length(text_col), F.lit(0)).alias("chars"))
     chars = ids.agg(F.sum("chars")).first()[0] or 0
-    ranges = int(max(1, -(-chars // range_chars)))
+    ranges = int(min(RANGES, max(1, -(-chars // range_chars))))
     cuts = []
     if ranges > 1:  # one number per range
         cuts = ids.agg(F.percentile_approx(
@@ -145,22 +149,21 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         z = zstandard.ZstdDecompressor()
-        own, file, docs_, arrays, size = None, 0, [], [], 0
+        own, file, first, docs_, arrays, size = None, 0, 0, [], [], 0
 
         def flush() -> pd.DataFrame:
             lens = np.array([len(a) for a in arrays])
             data = encode_file(docs_, lens, np.concatenate(arrays), block, percentile)
-            return pd.DataFrame([(own, file, len(docs_), int(lens.sum()), data)],
-                                columns=["range", "file", "n_docs", "n_ids", "data"])
+            return pd.DataFrame([(own, file, first, len(docs_), int(lens.sum()), data)],
+                                columns=[c.split()[0] for c in _FILES.split(", ")])
 
         for b in batches:
             for rng, doc, x in zip(b["range"], b["doc_id"], b["ids"]):
                 if docs_ and (rng != own or size >= file_ids):
                     yield flush()
-                    file, docs_, arrays, size = (file + 1 if rng == own else 0), [], [], 0
-                elif rng != own:
-                    file = 0
-                own = rng
+                    file, first, docs_, arrays, size = file + 1, first + size, [], [], 0
+                if rng != own:
+                    own, file, first = rng, 0, 0
                 a = (np.frombuffer(z.decompress(x[1:]), dtype="<u4") if x[:1] == b"\0"
                      else np.frombuffer(z.decompress(x), dtype="<u2"))
                 docs_.append(None if pd.isna(doc) else int(doc))
@@ -172,18 +175,18 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
     found = F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))
     (encoded(docs, vocabulary, id_col, text_col)
      .withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(found))
-     .repartition(min(ranges, 10_000), "range")
+     .repartitionById(ranges, "range")
      .sortWithinPartitions("range", "doc_id", "ids")
-     .mapInPandas(assemble, "range int, file int, n_docs long, n_ids long, data binary")
+     .mapInPandas(assemble, _FILES)
      .write.option("compression", "none").parquet(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), ids."""
-    files = spark.read.schema("range int, file int, n_docs long, n_ids long, data binary").parquet(path)
-    order = Window.orderBy("range", "file")  # one short row per file
-    starts = files.select("range", "file", "n_ids").withColumn(
-        "base", F.sum("n_ids").over(order) - F.col("n_ids")).drop("n_ids")
+    files = spark.read.schema(_FILES).parquet(path)
+    # at most RANGES short rows
+    sizes = files.groupBy("range").agg(F.sum("n_ids").alias("n"))
+    starts = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -197,8 +200,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         "start": [int(base + at[k]) for k in rows],
                         "ids": [ids[at[k]:at[k] + f.lengths[k]].astype("<u4").tobytes() for k in rows]})
 
-    return files.join(starts, ["range", "file"]).select("base", "data").mapInPandas(
-        run, "doc_id long, start long, ids binary")
+    return (files.join(F.broadcast(starts), "range")
+            .select((F.col("before") + F.col("first")).alias("base"), "data")
+            .mapInPandas(run, "doc_id long, start long, ids binary"))
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -79,7 +79,8 @@ class Unigram:
 
 
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
-                 text_col: str = "text", memory: int = 400_000, long_word: int = 1000) -> DataFrame:
+                 text_col: str = "text", memory: int = 600_000, long_word: int = 1000,
+                 batch_chars: int = 4 << 20) -> DataFrame:
     """One row per document: doc_id, n_pre_tokens, n_distinct, n_tokens.
 
     vocabulary: path of a sentencepiece model, readable by the executors.
@@ -87,24 +88,29 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     empty texts have none; repeated documents each get a row; a null id keeps
     its row. memory: stored counts a task keeps between batches (at the bound
     it starts anew); pre-tokens over ``long_word`` characters are counted in
-    full but not kept. Other columns are not read.
+    full but not kept; batch_chars: text whose words are in memory at once, at
+    least one document. Other columns are not read.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Unigram.from_sentencepiece(vocabulary)
         known: dict[str, int] = {}
         for b in batches:
-            bags = [Counter(t.split()) if t else Counter() for t in b["text"]]
-            if len(known) > memory:
-                known.clear()
-            new = {w for bag in bags for w in bag if w not in known}
-            fresh = model.counts(list(new))
-            known.update(fresh)
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"].astype("Int64"), "n_pre_tokens": [sum(x.values()) for x in bags],
-                "n_distinct": [len(x) for x in bags],
-                "n_tokens": [sum(known[w] * n for w, n in x.items()) for x in bags]})
-            for w in [w for w in fresh if len(w) > long_word]:
-                del known[w]
+            size = np.cumsum([len(t or "") for t in b["text"]])
+            cuts = [0, *np.flatnonzero(np.diff(size // batch_chars)) + 1, len(b)]
+            for i, j in zip(cuts, cuts[1:]):
+                bags = [Counter(t.split()) if t else Counter() for t in b["text"][i:j]]
+                if len(known) > memory:
+                    known.clear()
+                new = {w for bag in bags for w in bag if w not in known}
+                fresh = model.counts(list(new))
+                known.update(fresh)
+                yield pd.DataFrame({
+                    "doc_id": b["doc_id"][i:j].astype("Int64"),
+                    "n_pre_tokens": [sum(x.values()) for x in bags],
+                    "n_distinct": [len(x) for x in bags],
+                    "n_tokens": [sum(known[w] * n for w, n in x.items()) for x in bags]})
+                for w in [w for w in fresh if len(w) > long_word]:
+                    del known[w]
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
             .mapInPandas(run, "doc_id long, n_pre_tokens long, n_distinct long, n_tokens long"))

@@ -98,10 +98,14 @@ class Windows:
         return np.array([get(w, 0) for w in words], dtype=np.int64)
 
     def seen(self, words: list[bytes]) -> np.ndarray:
-        """The block's shingles that occur in a document, each once."""
-        codes = self.code(words)
-        got = [np.intersect1d(shingle_keys(codes, w), self.all_keys) for w in self.widths]
-        return np.unique(np.concatenate(got)) if got else np.zeros(0, np.uint64)
+        """Places in ``all_keys`` of the shingles that occur in a document, each once."""
+        codes, got = self.code(words), []
+        for width in self.widths:
+            keys = shingle_keys(codes, width)
+            keys = keys[keys > 0]  # few have only words of the block
+            slot = np.minimum(np.searchsorted(self.all_keys, keys), len(self.all_keys) - 1)
+            got.append(slot[self.all_keys[slot] == keys])
+        return np.unique(np.concatenate(got)) if got else np.zeros(0, np.int64)
 
     def occurrences(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(window, start) of every occurrence in a document."""
@@ -169,7 +173,7 @@ def prepared(texts: DataFrame, block: DataFrame, window: int, shingle: int):
         total = np.zeros(len(ix.all_keys), dtype=np.int64)
         for b in batches:
             for text in b["text"]:
-                total[np.searchsorted(ix.all_keys, ix.seen(words_of(text)))] += 1
+                total[ix.seen(words_of(text))] += 1
         at = np.flatnonzero(total)
         yield pd.DataFrame({"key": ix.all_keys[at].view(np.int64), "n": total[at]})
 

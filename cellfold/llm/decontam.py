@@ -199,6 +199,15 @@ def _scan(docs: DataFrame, ordered) -> DataFrame:
                                   "items array<string>, spans array<array<long>>")
 
 
+def _occurs(sent):
+    @F.pandas_udf("boolean")
+    def occurs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield pd.Series([len(sent.value.occurrences(words_of(t))[0]) > 0 for t in b], dtype=bool)
+
+    return occurs
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text",
                     item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
                     shingle: int = 3, block_chars: int = 8 << 20) -> DataFrame:
@@ -206,13 +215,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text",
     texts = docs.select(F.col(text_col).alias("text"))
     for block in item_blocks(items, item_col, item_text_col, block_chars):
         ordered = prepared(texts, block, window, shingle)
-
-        @F.pandas_udf("boolean")
-        def occurs(batches: Iterator[pd.Series], sent=ordered) -> Iterator[pd.Series]:
-            for b in batches:
-                yield pd.Series([len(sent.value.occurrences(words_of(t))[0]) > 0 for t in b], dtype=bool)
-
-        docs = docs.filter(~occurs(F.col(text_col)))
+        docs = docs.filter(~_occurs(ordered)(F.col(text_col)))
     return docs
 
 

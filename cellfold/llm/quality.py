@@ -10,8 +10,9 @@ weight, as usual for this method, and a logistic curve fitted on training
 texts left out of the descent turns margins into scores from 0 to 1.
 
 The fit uses a bounded sample of labelled documents (``sample`` of them, by a
-hash of their ids; a text is at most one bit per table entry there). Scoring
-reads every whole text once, where it lies.
+hash of their ids; only the numbers of a text's features, at most one per
+table entry, reach the driver). Scoring reads every whole text once, where it
+lies.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellfold.llm.blobs import pack_sorted, unpack_sorted
 from cellfold.llm.common import doc_fold, utf8
 
 TABLE = 1 << 16  # entries for each order of two bytes and up
@@ -90,11 +92,9 @@ class NBSVM:
     @staticmethod
     def _descend(rows, y, ratio, c, epochs, seed) -> np.ndarray:
         """Dual coordinate descent for min |w|^2/2 + C sum hinge(1 - y w.x), rows of unit length."""
-        values = []
-        for r in rows:
-            v = ratio[r]
-            values.append(v / max(float(np.sqrt(v @ v)), 1e-12))
-        diag = np.array([float(v @ v) for v in values])
+        square = ratio * ratio
+        size = np.array([max(float(np.sqrt(square[r].sum())), 1e-12) for r in rows])
+        diag = np.array([float(square[r].sum()) / s ** 2 for r, s in zip(rows, size)])
         upper = c * len(y) / 2 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
         upper = upper * 10
         a, w = np.zeros(len(y)), np.zeros(SIZE)
@@ -102,9 +102,10 @@ class NBSVM:
         for _ in range(epochs):
             worst = 0.0
             for i in rng.permutation(len(y)):
-                r, v = rows[i], values[i]
                 if diag[i] == 0:
                     continue
+                r = rows[i]
+                v = ratio[r] / size[i]
                 g = y[i] * float(w[r] @ v) - 1
                 new = min(max(a[i] - g / diag[i], 0.0), upper[i])
                 if new != a[i]:
@@ -156,20 +157,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: i
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = Indicators()
         for b in batches:
-            bits = []
-            for t in b["text"]:
-                flags = np.zeros(SIZE, dtype=bool)
-                flags[find.of(t)] = True
-                bits.append(np.packbits(flags).tobytes())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "bits": bits})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "found": [
+                pack_sorted(find.of(t).astype(np.uint64)) for t in b["text"]]})
 
     # the sample has a fixed bound, so it may go to every task
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .join(F.broadcast(chosen), "doc_id")
-            .mapInPandas(features, "doc_id long, y int, bits binary")
-            .dropDuplicates().orderBy("doc_id", "bits").collect())
-    return NBSVM([np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=SIZE))
-                  for r in rows], [r["y"] for r in rows])
+            .mapInPandas(features, "doc_id long, y int, found binary")
+            .dropDuplicates().orderBy("doc_id", "found").collect())
+    return NBSVM([unpack_sorted(r["found"]).astype(np.uint32) for r in rows], [r["y"] for r in rows])
 
 
 def scorer(model: NBSVM):

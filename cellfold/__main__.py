@@ -20,25 +20,54 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cellfold.plans.dispatch import parse_job_args, run_jobs
+from cellfold.plans.issues import issue_rows
 from cellfold.session import SESSION_DEFAULTS, scratch_path
 from cellfold.sinks.orc import (EFFICIENCY_TABLES, FORM_TABLE, INSPECTION_TABLE, append_orc,
                                 append_routed)
-from cellfold.sources.xlsx import decode, to_corpus
 from cellfold.sources.bronze import materialize
+from cellfold.sources.xlsx import DECODED_SCHEMA, decode, to_corpus
+
+
+def located(spark: SparkSession, jobs):
+    """The job list with each path as the file source reports it (``workbook``) and
+    whether it exists. Reads the job list only: one path per file."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for r in jobs.select("path").distinct().collect():
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(r["path"])
+            fs = p.getFileSystem(conf)
+            rows.append((r["path"], fs.makeQualified(p).toString(), fs.isFile(p)))
+        except Exception:  # no such file system, an empty or malformed path
+            rows.append((r["path"], r["path"], False))
+    found = spark.createDataFrame(rows, "own_path string, workbook string, found boolean")
+    return jobs.join(found, jobs["path"].eqNullSafe(found["own_path"])).drop("own_path"), [
+        w for _, w, ok in rows if ok]
 
 
 def run(spark: SparkSession, jobs, out_dir: str | None = None, out_db: str | None = None,
         bronze: str | None = None, compat: bool = False) -> dict:
-    """Decode the listed workbooks once, run every job, append the outputs."""
-    paths = [r["path"] for r in jobs.select("path").distinct().collect()]  # the job list itself
-    files = (spark.read.format("binaryFile").load(paths)
-             .select(F.col("path").alias("workbook"), "content"))
-    corpus, errors = to_corpus(decode(files))
-    corpus = materialize(corpus, bronze or scratch_path(spark, f"bronze_run_{uuid.uuid4().hex}"))
-    # binaryFile reports qualified paths (file:/...): match jobs on them
-    listed = files.select("workbook").withColumn("path", F.regexp_replace("workbook", "^file:", ""))
-    j = (jobs.withColumn("path", F.regexp_replace("path", "^file:", ""))
-         .join(listed, "path").select("kind", "workbook"))
+    """Decode the listed workbooks once, run every job, append the outputs.
+
+    A job whose file is not there becomes an issue row; the others run. A job
+    listed twice runs once.
+    """
+    jobs, paths = located(spark, jobs)
+    missing = issue_rows(jobs.filter("not found"), "job_source",
+                         F.concat(F.lit("no such file: '"), F.coalesce("path", F.lit("")), F.lit("'")),
+                         sheet_idx=F.lit(None))
+    path = bronze or scratch_path(spark, f"bronze_run_{uuid.uuid4().hex}")
+    if paths:
+        files = (spark.read.format("binaryFile").load(paths)
+                 .select(F.col("path").alias("workbook"), "content"))
+    else:
+        files = spark.createDataFrame([], "workbook string, content binary")
+    # the decoded stream is written once; sheets, cells, merges and errors are read from it
+    decode(files).write.mode("overwrite").partitionBy("kind").parquet(f"{path}/decoded")
+    corpus, errors = to_corpus(spark.read.schema(DECODED_SCHEMA).parquet(f"{path}/decoded"))
+    corpus = materialize(corpus, path)
+    errors = errors.unionByName(missing)
+    j = jobs.filter("found").select("kind", "workbook").distinct()
     res = run_jobs(j, corpus, compat=compat)
     as_table = out_db is not None
 

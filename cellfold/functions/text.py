@@ -70,8 +70,3 @@ def arith_text_eval(c) -> Column:
             .when(op == "-", F.try_subtract(a, b))
             .when(op == "*", F.try_multiply(a, b))
             .otherwise(F.lit(None).cast("int")))
-
-
-def split_token(c, i: int) -> Column:
-    """F-04 helper: the i-th (1-based, negative from the end) space token."""
-    return F.element_at(F.split(_c(c), " "), i)

@@ -122,7 +122,9 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
     all_zero = (planned[0] == 0) & (planned[1] == 0) & (planned[2] == 0) & (planned[3] == 0)
     if compat:
         all_zero = all_zero | (F.col("planned_pos") > F.col("pct_pos"))
-    pct = [F.when(F.col("has_pct").isNull(), nan())
+    # an absent % label is unknown (NULL); NaN means that nothing was planned
+    absent = nan() if compat else F.lit(None).cast("double")
+    pct = [F.when(F.col("has_pct").isNull(), absent)
            .otherwise(guarded_percent(all_zero, F.col(f"pct_text{q}"))) for q in range(1, 5)]
 
     def dflt(c, sentinel):

@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             # a machine-local folder would not survive executor loss on a cluster
             raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         conf_dir = tempfile.mkdtemp(prefix="cellfold-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

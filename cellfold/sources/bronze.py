@@ -124,7 +124,8 @@ def explode_cells(df: DataFrame, keys: list[str], cell_structs: list[str]) -> Da
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
     """Read a bronze corpus written by ``write_corpus`` (Parquet)."""
-    cells = spark.read.parquet(f"{path}/cells").select(*[f.name for f in CELLS_SCHEMA.fields])
+    cells = (spark.read.schema(CELLS_SCHEMA).parquet(f"{path}/cells")  # may hold no file
+             .select(*[f.name for f in CELLS_SCHEMA.fields]))
     return Corpus(spark.read.parquet(f"{path}/sheets"), cells,
                   spark.read.parquet(f"{path}/merges"))
 

@@ -22,6 +22,7 @@ from date-styled numbers as ISO dates or 'Month yyyy'.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 import io
 import re
 import zipfile
@@ -91,13 +92,40 @@ def _parse_ref(ref: str) -> tuple[int, int]:
 
 
 def render_number(v: float) -> str:
-    """General-like rendering: integers plain, else up to 10 decimals."""
+    """General-like rendering: plain digits with up to 15 significant ones."""
     if v != v or v in (float("inf"), float("-inf")):
         return str(v)
     if v == int(v) and abs(v) < 1e15:
         return str(int(v))
-    s = f"{v:.10f}".rstrip("0").rstrip(".")
-    return s if s not in ("", "-0") else "0"
+    return format(Decimal(f"{v:.15g}"), "f")
+
+
+_QUOTED = re.compile(r'"[^"]*"|\'[^\']*\'')
+_CELL = re.compile(r"(?<![A-Za-z0-9_.$])(\$?)([A-Z]{1,3})(\$?)([0-9]{1,7})(?![A-Za-z0-9_.(!])")
+
+
+def shift_formula(formula: str, rows: int, cols: int) -> str:
+    """A shared formula as it reads in another cell: relative references move along."""
+    def move(m: re.Match) -> str:
+        col, row = col_index(m[2]), int(m[4])
+        if not m[1]:
+            col += cols
+        if not m[3]:
+            row += rows
+        if col < 0 or row < 1:
+            return "#REF!"
+        name = ""
+        col += 1
+        while col:
+            col, k = divmod(col - 1, 26)
+            name = chr(65 + k) + name
+        return f"{m[1]}{name}{m[3]}{row}"
+
+    out, at = [], 0
+    for q in _QUOTED.finditer(formula):
+        out += [_CELL.sub(move, formula[at:q.start()]), q[0]]
+        at = q.end()
+    return "".join(out) + _CELL.sub(move, formula[at:])
 
 
 def _excel_date(v: float, date1904: bool) -> _dt.datetime:
@@ -191,9 +219,13 @@ def decode_workbook(workbook: str, content: bytes) -> Iterator[dict]:
 
 def _decode_sheet(zf, workbook, idx, part, sst, styles, date1904) -> Iterator[dict]:
     row_no, next_col, decl = -1, 0, 0
+    shared: dict[str, tuple[str, int, int]] = {}  # master formula and its cell, by group
+    rows = None
     for ev, el in ET.iterparse(zf.open(part), events=("start", "end")):
         tag = el.tag
         if ev == "start":
+            if tag == f"{_M}sheetData":
+                rows = el
             if tag == f"{_M}row":
                 r = el.get("r")
                 row_no = int(r) - 1 if r else row_no + 1
@@ -203,10 +235,10 @@ def _decode_sheet(zf, workbook, idx, part, sst, styles, date1904) -> Iterator[di
             ref = el.get("r")
             r, c = _parse_ref(ref) if ref else (row_no, next_col)
             next_col = c + 1
-            yield _cell_record(workbook, idx, r, c, el, sst, styles, date1904)
-            el.clear()
-        elif tag == f"{_M}row":
+            yield _cell_record(workbook, idx, r, c, el, sst, styles, date1904, shared)
             el.clear()
+        elif tag == f"{_M}row" and rows is not None:
+            rows.clear()  # with its parent's list, so memory does not grow with the rows
         elif tag == f"{_M}mergeCell":
             a, _, b = el.get("ref").partition(":")
             (r0, c0), (r1, c1) = _parse_ref(a), _parse_ref(b or a)
@@ -215,7 +247,7 @@ def _decode_sheet(zf, workbook, idx, part, sst, styles, date1904) -> Iterator[di
             decl += 1
 
 
-def _cell_record(workbook, idx, r, c, el, sst, styles, date1904) -> dict:
+def _cell_record(workbook, idx, r, c, el, sst, styles, date1904, shared) -> dict:
     t = el.get("t")
     f = el.find(f"{_M}f")
     v = el.find(f"{_M}v")
@@ -236,7 +268,14 @@ def _cell_record(workbook, idx, r, c, el, sst, styles, date1904) -> dict:
     elif vtext is not None:
         num = float(vtext)
     if f is not None:
-        rec.update(ctype="formula", formula=f.text or "", text=f.text or "",
+        formula = f.text or ""
+        if f.get("t") == "shared":
+            if formula:
+                shared[f.get("si")] = formula, r, c
+            elif f.get("si") in shared:
+                master, r0, c0 = shared[f.get("si")]
+                formula = shift_formula(master, r - r0, c - c0)
+        rec.update(ctype="formula", formula=formula, text=formula,
                    num=num, str=s if t in ("str", "s", "inlineStr") else None)
         return rec
     if t in ("s", "inlineStr", "str"):
@@ -273,10 +312,8 @@ _ARROW_SCHEMA = pa.schema([
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     buf: list[dict] = []
     for b in batches:
-        names = b.column("workbook").to_pylist()
-        contents = b.column("content").to_pylist()
-        for name, content in zip(names, contents):
-            for rec in decode_workbook(name, content or b""):
+        for name, content in zip(b.column("workbook"), b.column("content")):  # one file at a time
+            for rec in decode_workbook(name.as_py(), content.as_py() or b""):
                 buf.append(rec)
                 if len(buf) >= BATCH_ROWS:
                     yield _to_batch(buf)

@@ -102,6 +102,7 @@ def test_q06_absent_labels_default_null_compat_sentinels(spark):
     sheet = form_sheet(BASE, drop=("total", "outdated", "last_year", "pct"))
     (d,) = run(spark, sheet).table.collect()
     assert d["Op_Procedures"] is None and d["Last_Updated_OP_Year"] is None
+    assert d["Perc_of_Procedure_Rvd_Vs__Plnd_Q1"] is None
     (c,) = run(spark, sheet, compat=True).table.collect()
     assert c["Op_Procedures"] == 2147483647 and c["Number_Of_outdatedOPs"] == 2147483647
     assert c["Last_Updated_OP_Year"] == ""

@@ -55,9 +55,9 @@ def inspection_model(book: list[tuple[str, dict]], compat_quarters=False, compat
                 carried[i] = rg
             regions = [carried[i] for i in sorted(carried)]
         else:
-            if loc is None:
-                continue
             regions = own
+        if loc is None:
+            continue
         mon = _last_match(cells, MONTH)
         if mon is None:
             continue

@@ -17,6 +17,10 @@ apart than the threshold's angle hold no link, by the triangle inequality for
 angles, and are never paired. A tile pair is one bounded group; it returns
 link counts and one star per local component, never the pairs themselves, so
 a large group of near copies makes rows in proportion to its members.
+
+Copies (vectors of a label with the same unit vector) are one class, which
+goes through the tiles once and counts as many links as it has members, so
+the tile work grows with the distinct vectors only.
 """
 
 from __future__ import annotations
@@ -91,8 +95,10 @@ def linked(a_unit, a_codes, a_scale, a_err, b_unit, b_codes, b_scale, b_err,
     return out
 
 
-def tile_stars(a_ids: np.ndarray, b_ids: np.ndarray, link: np.ndarray, same: bool) -> list[tuple]:
-    """(vec_id, links, root) of every vector with a link inside one tile pair."""
+def tile_stars(a_ids: np.ndarray, b_ids: np.ndarray, a_size: np.ndarray, b_size: np.ndarray,
+               link: np.ndarray, same: bool) -> list[tuple]:
+    """(class, links, root) of every class with a link inside one tile pair; a link
+    counts once for each member of the class at its other end."""
     low_a, low_b = a_ids.copy(), b_ids.copy()
     i, j = np.nonzero(link)
     while len(i):
@@ -103,9 +109,9 @@ def tile_stars(a_ids: np.ndarray, b_ids: np.ndarray, link: np.ndarray, same: boo
             low_a = low_b = np.minimum(low_a, low_b)
         if (low_a.sum(dtype=object), low_b.sum(dtype=object)) == before:
             break
-    rows = [(int(v), int(n), int(r)) for v, n, r in zip(a_ids, link.sum(1), low_a) if n]
+    rows = [(int(v), int(n), int(r)) for v, n, r in zip(a_ids, link @ b_size, low_a) if n]
     if not same:
-        rows += [(int(v), int(n), int(r)) for v, n, r in zip(b_ids, link.sum(0), low_b) if n]
+        rows += [(int(v), int(n), int(r)) for v, n, r in zip(b_ids, a_size @ link, low_b) if n]
     return rows
 
 
@@ -118,17 +124,21 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, tile: int = 20
     are equal. Null labels or ids, and vectors that are null, empty, zero or
     hold a null or non-finite component, link with nothing and stay their own
     component; vectors of different lengths never link. Exactly repeated rows
-    count once; rows that share an id but differ are compared each on its own
-    and reported under their id, one row per row. An empty table gives no
-    rows; other columns are not read.
+    count once; rows that share an id but differ are vectors of their own,
+    counted as others of each other where they link, and reported under their
+    id: one row per row, with the links of all of them and one component. An
+    empty table gives no rows; other columns are not read.
     """
     rows = (vectors.select(F.col(id_col).cast("long").alias("vec_id"),
                            F.col(label_col).cast("string").alias("label"),
                            F.col(vec_col).cast("array<double>").alias("vec"))
             .dropDuplicates())
     code = checkpoint(coded(rows))
+    same_unit = ["label", "dim", "unit", "codes", "scale", "err", "angle"]  # all follow from unit
+    classes = checkpoint(code.groupBy(*same_unit).agg(F.count("*").alias("size"))
+                         .withColumn("cls", F.monotonically_increasing_id()))
     reach = float(np.arccos(threshold)) + 1e-6
-    placed = code.withColumn("bin", F.floor(F.col("angle") / BIN).cast("int"))
+    placed = classes.withColumn("bin", F.floor(F.col("angle") / BIN).cast("int"))
     bins = placed.groupBy("label", "dim", "bin").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("label", "dim").orderBy("bin")) - F.col("n")
     bins = bins.withColumn("strip", F.floor(before / tile).cast("int"))
@@ -146,33 +156,48 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.98, tile: int = 20
     theirs = F.struct(F.col("other").alias("strip"), F.col("other_part").alias("part"))
     work = (placed.join(bins.select("label", "dim", "bin", "strip"), ["label", "dim", "bin"])
             .join(partners, ["label", "dim", "strip"])
-            .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+            .withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
             .select("label", "dim", F.least(mine, theirs).alias("x"),
                     F.greatest(mine, theirs).alias("y"), (mine <= theirs).alias("first"),
-                    "vec_id", "unit", "codes", "scale", "err"))
+                    "cls", "size", "unit", "codes", "scale", "err"))
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         same = key[2] == key[3]
         sides = []
         for side in (True, False):
-            p = g[g["first"] == (side or same)].sort_values("vec_id")
+            p = g[g["first"] == (side or same)].sort_values("cls")
             dim = int(key[1])
             sides.append((np.frombuffer(b"".join(p["unit"]), dtype=np.float64).reshape(-1, dim),
                           np.frombuffer(b"".join(p["codes"]), dtype=np.int8).reshape(-1, dim),
-                          p["scale"].to_numpy(), p["err"].to_numpy(), p["vec_id"].to_numpy()))
+                          p["scale"].to_numpy(), p["err"].to_numpy(), p["cls"].to_numpy(),
+                          p["size"].to_numpy()))
         a, b = sides
         link = linked(*a[:4], *b[:4], threshold)
-        link &= a[4][:, None] != b[4][None, :]
-        return pd.DataFrame(tile_stars(a[4], b[4], link, same),
-                            columns=["vec_id", "links", "root"])
+        if same:
+            np.fill_diagonal(link, False)
+        return pd.DataFrame(tile_stars(a[4], b[4], a[5], b[5], link, same),
+                            columns=["cls", "links", "root"])
 
     stars = checkpoint(work.groupBy("label", "dim", "x", "y").applyInPandas(
-        run, "vec_id long, links long, root long"))
-    roots = components(stars.filter("root <> vec_id").select(
-        F.col("root").alias("a"), F.col("vec_id").alias("b")))
-    counts = stars.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
-    return (rows.select("vec_id").join(counts, "vec_id", "left")
-            .join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+        run, "cls long, links long, root long"))
+    own = classes.select("label", "dim", "unit", "cls", "size")
+    members = checkpoint(code.select("vec_id", "label", "dim", "unit")
+                         .join(own, ["label", "dim", "unit"]).select("vec_id", "cls", "size"))
+    # rows of one id that lie in several classes tie these together
+    spread = (members.groupBy("vec_id").agg(F.min("cls").alias("a"), F.max("cls").alias("top"))
+              .filter("a < top").select("vec_id", "a"))
+    ties = members.join(spread, "vec_id").filter("cls > a").select("a", F.col("cls").alias("b"))
+    roots = components(stars.filter("root <> cls").select(
+        F.col("root").alias("a"), F.col("cls").alias("b")).unionByName(ties))
+    links = stars.groupBy("cls").agg(F.sum("links").alias("links"))
+    # both joins are on the class: a class that holds a third of the rows is split by AQE
+    known = (members.join(links, "cls", "left").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+             .select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
+                     F.coalesce("root", "cls").alias("root")))
+    lowest = known.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    found = (known.join(lowest, "root").groupBy("vec_id")
+             .agg(F.sum("links").alias("n_links"), F.min("component_id").alias("component_id")))
+    return (rows.select("vec_id").join(found, "vec_id", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("root", "vec_id").alias("component_id"))
+                    F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))

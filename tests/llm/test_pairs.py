@@ -128,6 +128,15 @@ def test_embedding_groups_match_all_pairs(spark, tile):
     assert embed.embedding_groups(df.limit(0)).count() == 0
 
 
+def test_embedding_rows_that_share_an_id(spark):
+    x, y, z = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0], [1.0, 0.0, 0.12]
+    rows = [(5, x), (5, y), (5, [2 * v for v in x]), (7, y), (3, z), (9, [0.0, 0.0, 1.0]), (None, x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as label")
+    got = sorted((tuple(r) for r in embed.embedding_groups(df).collect()), key=str)
+    assert got == sorted([(5, 5, 3, False)] * 3 + [(7, 1, 3, False), (3, 2, 3, True), (9, 0, 9, True),
+                                                  (None, 0, None, True)], key=str)
+
+
 def test_quantisation_bound_covers_the_error():
     rng = np.random.default_rng(0)
     for _ in range(200):

@@ -154,18 +154,23 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN own USING (doc_id)""",
     "op6_mix_sources": f"""
 WITH d AS (SELECT *, length(coalesce(text, '')) + 1 AS size,
-             (('0x' || substr(md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5)
-               / 4503599627370496.0 AS u FROM documents),
+             '{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '') AS who FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS size FROM d GROUP BY 1),
-r AS (SELECT source, (1.0 / (SELECT count(*) FROM s)) * (SELECT sum(size) FROM s) / size AS rate FROM s),
+m AS (SELECT source, (1.0 / (SELECT count(*) FROM s)) * (SELECT sum(size) FROM s) / size AS mean FROM s),
+r AS (SELECT source, parts, mean / parts AS rate
+      FROM (SELECT *, greatest(ceil(mean / {mixing.PART}), 1)::BIGINT AS parts FROM m)),
 pmf AS (SELECT source, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) AS p
         FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 41)::BIGINT)) AS k FROM r)),
 cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
-n AS (SELECT d.doc_id, count(*) FILTER (WHERE c < u) AS copies
-      FROM d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source GROUP BY 1),
-x AS (SELECT d.* EXCLUDE (size, u), unnest(range(1, copies + 1))::INTEGER AS mix_copy,
-             copies::INTEGER AS mix_copies FROM d JOIN n USING (doc_id))
-SELECT *, md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || mix_copy) AS mix_key FROM x""",
+e AS (SELECT * REPLACE (CASE WHEN mix_part = 0 THEN who ELSE who || ':p' || mix_part END AS who)
+      FROM (SELECT d.*, unnest(range(parts)) AS mix_part
+            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)),
+u AS (SELECT *, (('0x' || substr(md5(who), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u FROM e),
+n AS (SELECT u.doc_id, u.mix_part, count(*) FILTER (WHERE c < u) AS copies
+      FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source GROUP BY 1, 2),
+x AS (SELECT u.* EXCLUDE (size, u), unnest(range(1, copies + 1))::INTEGER AS mix_copy,
+             copies::INTEGER AS mix_copies FROM u JOIN n USING (doc_id, mix_part))
+SELECT * EXCLUDE (who), md5(who || ':' || mix_copy) AS mix_key FROM x""",
     "op8_chat": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),

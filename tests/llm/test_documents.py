@@ -107,6 +107,24 @@ def test_mix_edge_rows(spark, make_docs):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_large_means_are_drawn_in_parts(spark, make_docs):
+    docs = make_docs([(i, "", "tiny") for i in range(30)] + [(99, "y" * 9, "big")])
+    out = mixing.poisson_mix(docs.drop("u"), budget=60_000.0, seed=3)  # mean 1000 and 3000
+    n = Counter(r.doc_id for r in out.select("doc_id").collect())
+    assert all(abs(n[i] - 1000) < 6 * math.sqrt(1000) for i in range(30))
+    assert abs(n[99] - 3000) < 6 * math.sqrt(3000)
+    assert abs(sum(n[i] for i in range(30)) - 30_000) < 6 * math.sqrt(30_000)
+    assert out.select("doc_id", "mix_part", "mix_copy").distinct().count() == sum(n.values())
+    assert out.agg({"mix_part": "max"}).first()[0] == 11
+    old = mixing._LIST
+    try:
+        mixing._LIST = 3
+        again = mixing.poisson_mix(docs.drop("u"), budget=60_000.0, seed=3)
+        assert again.select("mix_key").collect() == out.select("mix_key").collect()
+    finally:
+        mixing._LIST = old
+
+
 def test_large_rates_follow_the_distribution(spark):
     from pyspark.sql import functions as F
     cdf = spark.range(1).select(mixing.poisson_cdf(F.lit(2000.0)).alias("c")).first()["c"]

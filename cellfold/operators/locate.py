@@ -19,24 +19,19 @@ from cellfold.sources.bronze import MAX_COLS
 SHEET = ["workbook", "sheet_idx"]
 
 
-def sheet_id() -> Column:
-    """64-bit numeric sheet key, computed from (workbook, sheet_idx).
+SHEET_ID = ["sid", "sid2"]
 
-    The large ``cells`` side of a join is keyed on this instead of the
-    workbook string (a file path at scale), so only numbers ride the shuffle;
-    the workbook name stays on the small side. Uniqueness over a corpus is
-    checked exactly by ``assert_unique_sheet_ids`` when a corpus is persisted.
-    """
-    return F.xxhash64(F.col("workbook"), F.col("sheet_idx"))
 
+def sheet_id() -> list[Column]:
+    """128-bit numeric sheet key in two columns, computed from (workbook, sheet_idx).
 
-def assert_unique_sheet_ids(sheets: DataFrame) -> None:
-    """Exact guard (one small aggregation over ``sheets``): two sheets with
-    the same 64-bit key would make the numeric join ambiguous."""
-    dup = (sheets.select(sheet_id().alias("sid"), "workbook", "sheet_idx").distinct()
-           .groupBy("sid").count().filter(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise ValueError(f"sheet id collision: {dup[0]['sid']}")
+    The large ``cells`` side of a join is keyed on these instead of the
+    workbook string (a file path at scale), so only numbers ride the shuffle;
+    the workbook name stays on the small side. The two 64-bit hashes chain the
+    columns in opposite order, so sheets that share one differ in the other.
+    """
+    return [F.xxhash64("workbook", "sheet_idx").alias("sid"),
+            F.xxhash64("sheet_idx", "workbook").alias("sid2")]
 
 
 def pos_key(row="row", col="col") -> Column:
@@ -190,9 +185,9 @@ def read_targets(cells: DataFrame, targets: DataFrame) -> DataFrame:
     the result adds ctype, num, str, text (NULL ctype = no stored cell),
     ``value`` (S-06 numeric view) and ``read_error``.
     """
-    c = cells.select(sheet_id().alias("sid"), "row", "col", "ctype", "num", "str", "text")
-    t = targets.withColumn("sid", sheet_id())
-    j = t.join(c, on=["sid", "row", "col"], how="left").drop("sid")
+    c = cells.select(*sheet_id(), "row", "col", "ctype", "num", "str", "text")
+    t = targets.select("*", *sheet_id())
+    j = t.join(c, on=[*SHEET_ID, "row", "col"], how="left").drop(*SHEET_ID)
     return (j.withColumn("value", numeric_read())
             .withColumn("read_error", numeric_read_error()))
 

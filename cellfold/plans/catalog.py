@@ -18,6 +18,7 @@ from cellfold.sources import grids
 from cellfold.sources.bronze import Corpus, materialize
 
 _BRONZE: dict[tuple, Corpus] = {}
+_YEARS: dict[tuple, list[int]] = {}
 
 
 def _bronze(spark: SparkSession, key: tuple, build) -> Corpus:
@@ -37,6 +38,16 @@ def g2(spark: SparkSession, sf_dir: str) -> Corpus:
 
 
 def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START,
-       blocks: str = "type") -> Corpus:
-    return _bronze(spark, ("g3", sf_dir, start, blocks),
-                   lambda: grids.g3_schedule_grid(spark, sf_dir, start=start, blocks=blocks))
+       blocks: str = "type", repeat: bool = False) -> Corpus:
+    return _bronze(spark, ("g3", sf_dir, start, blocks, repeat),
+                   lambda: grids.g3_schedule_grid(spark, sf_dir, start=start, blocks=blocks,
+                                                  repeat=repeat))
+
+
+def g1_tabs(spark: SparkSession, sf_dir: str, ahead: int = 0) -> list[str]:
+    """Tab names to ask for: one per ship year of the data, and ``ahead`` after the last."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _YEARS:
+        _YEARS[k] = grids.ship_years(spark, sf_dir) or [0]
+    years = _YEARS[k]
+    return [grids.g1_tab(y) for y in [*years, *range(years[-1] + 1, years[-1] + 1 + ahead)]]

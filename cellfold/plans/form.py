@@ -46,9 +46,13 @@ def resolve_form_sheet(sheets: DataFrame, sheet_name: str = FORM_SHEET) -> DataF
             .groupBy("workbook").agg(F.max("sheet_idx").alias("sheet_idx")))
 
 
-def label_anchors(corpus: Corpus, form: DataFrame, labels: dict[str, str]) -> DataFrame:
+def label_anchors(corpus: Corpus, form: DataFrame, labels: dict[str, str],
+                  planned_seen: bool = False) -> DataFrame:
     """J-05/J-08 + A-02: per (sheet, field) the last label cell that sits on a
-    row where a merged region starts, with that region's height."""
+    row where a merged region starts, with that region's height.
+
+    ``planned_seen`` adds the field of that name: the last planned block
+    before the last % block (Q-08)."""
     keys = {f: label_key(t) for f, t in labels.items()}
     field = None
     for f, k in keys.items():
@@ -59,6 +63,12 @@ def label_anchors(corpus: Corpus, form: DataFrame, labels: dict[str, str]) -> Da
             .join(form.select(*SHEET), SHEET, "left_semi"))
     heights = merged_height_by_row(corpus.merges)
     on_merge = hits.join(heights, [*SHEET, "row"])
+    if planned_seen:
+        pct = (on_merge.filter(F.col("field") == "pct").groupBy(*SHEET)
+               .agg(F.max(pos_key()).alias("pct_pos")))
+        earlier = (on_merge.filter(F.col("field") == "planned").join(pct, SHEET)
+                   .filter(pos_key() < F.col("pct_pos")).drop("pct_pos"))
+        on_merge = on_merge.unionByName(earlier.withColumn("field", F.lit("planned_seen")))
     best = (on_merge.groupBy(*SHEET, "field")
             .agg(F.max(F.struct(pos_key().alias("p"), F.col("height"))).alias("b")))
     return best.select(*SHEET, "field", pos_row(F.col("b.p")).alias("row"),
@@ -78,7 +88,7 @@ def field_values(corpus: Corpus, anchors: DataFrame, dc: int = FORM_VALUE_OFFSET
     fld = F.col("field")
     v_int = (F.when(fld == "total", arith_text_eval(txt))
              .when(fld == "outdated", parse_int_strict(txt))
-             .when(fld.isin("planned", "reviewed", "carried"), blank_to_zero_int("text")))
+             .when(fld.isin("planned", "planned_seen", "reviewed", "carried"), blank_to_zero_int("text")))
     return v.select(*SHEET, "field", "height", "i", txt.alias("v_text"), v_int.alias("v_int"),
                     string_read().alias("v_str"))
 
@@ -88,7 +98,7 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
                 compat: bool = False, include_parsed: bool = False,
                 document_id: int = 1, year: int = 2018) -> ProgramResult:
     form = resolve_form_sheet(corpus.sheets, sheet_name)
-    anchors = label_anchors(corpus, form, labels)
+    anchors = label_anchors(corpus, form, labels, planned_seen=compat)
     vals = field_values(corpus, anchors, dc)
     fld, i, last = F.col("field"), F.col("i"), F.col("i") == F.col("height") - 1
 
@@ -103,7 +113,7 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
             F.max(F.when(fld == "pct", 1)).alias("has_pct"),
             F.max(F.when(fld == "planned", F.col("height"))).alias("planned_h")]
     for q in range(4):
-        for f in ("planned", "reviewed", "carried"):
+        for f in ("planned", "reviewed", "carried", *(["planned_seen"] if compat else [])):
             aggs.append(pick(f, "v_int", i == q).alias(f"{f}{q + 1}"))
         aggs.append(pick("pct", "v_str", i == q).alias(f"pct_text{q + 1}"))
     if include_parsed:
@@ -111,17 +121,12 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
             F.when(fld == "element", F.struct(i.alias("o"), F.col("v_text").alias("v")))))
             .alias("_elements"))
     rec = vals.groupBy(*SHEET).agg(*aggs)
-    if compat:
-        order = (anchors.groupBy(*SHEET).agg(
-            F.max(F.when(F.col("field") == "planned", F.col("pos"))).alias("planned_pos"),
-            F.max(F.when(F.col("field") == "pct", F.col("pos"))).alias("pct_pos")))
-        rec = rec.join(order, SHEET, "left")
 
     r = form.join(rec, SHEET, "left")
-    planned = [F.coalesce(F.col(f"planned{q}"), F.lit(0)) for q in range(1, 5)]
+    # compat (Q-08): the % block only knows the planned block read before it
+    seen = "planned_seen" if compat else "planned"
+    planned = [F.coalesce(F.col(f"{seen}{q}"), F.lit(0)) for q in range(1, 5)]
     all_zero = (planned[0] == 0) & (planned[1] == 0) & (planned[2] == 0) & (planned[3] == 0)
-    if compat:
-        all_zero = all_zero | (F.col("planned_pos") > F.col("pct_pos"))
     # an absent % label is unknown (NULL); NaN means that nothing was planned
     absent = nan() if compat else F.lit(None).cast("double")
     pct = [F.when(F.col("has_pct").isNull(), absent)

@@ -19,7 +19,6 @@ from cellfold.plans import catalog
 from cellfold.plans.efficiency import equipment_efficiency
 from cellfold.plans.form import form_record
 from cellfold.plans.inspection import inspection_program
-from cellfold.sources.grids import g1_tabs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -51,6 +50,8 @@ _G1_MON_SQL = """
     FROM lineitem GROUP BY 1, 2, 3
 """
 
+#: The sheet before the first ship year's (scalar).
+_YEAR0 = "(SELECT min(year(l_shipdate)) - 1 FROM lineitem)"
 _G1_WB = "'supplier-' || CAST(suppkey AS VARCHAR)"
 _G1_SHEET = ("'Platform ' || CAST(yr AS VARCHAR) || "
              "CASE WHEN suppkey % 4 = 0 THEN ' ' ELSE '' END")
@@ -71,7 +72,7 @@ FROM mon WHERE m + u <> 0
 """)
 def q_equipment_efficiency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = catalog.g1(spark, sf_dir)
-    return equipment_efficiency(corpus, g1_tabs()).table
+    return equipment_efficiency(corpus, catalog.g1_tabs(spark, sf_dir)).table
 
 
 # ---------------------------------------------------------------------------
@@ -160,7 +161,7 @@ def _g3_program_sql(qexpr: str) -> str:
     return f"""
 WITH s AS ({_g3_slots_sql()}),
 pr AS (
-    SELECT suppkey, yr, ptype, brand, substr(brand, 1, 7) AS descr,
+    SELECT suppkey, yr, ptype, brand, brand AS descr,
            min(min_size) AS min_size, max(last_ship) AS last_ship,
            {counts}
     FROM (SELECT *, {qexpr} AS q FROM s) GROUP BY 1, 2, 3, 4, 5),
@@ -168,7 +169,7 @@ lastpair AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY suppkey, yr, ptype, descr
                                                 ORDER BY brand DESC) AS rn FROM pr)
     WHERE rn = 1)
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        ptype AS Location, descr AS Description, CAST(min_size AS VARCHAR) AS Survey_Frequency,
        'PF-' || lower(ptype) AS Platform_Installation,
        strftime(last_ship, '%Y-%m-%d') AS Last_Inspection,

@@ -23,10 +23,11 @@ from cellfold.plans.efficiency import efficiency_anchors, equipment_efficiency
 from cellfold.plans.form import OUTPUT_COLUMNS as FORM_COLUMNS
 from cellfold.plans.form import form_record, label_anchors, resolve_form_sheet
 from cellfold.plans.inspection import inspection_program
-from cellfold.queries import (_G1_MON_SQL, _G1_SHEET, _G1_WB, _G2_AGG_SQL, _MONTHS_SQL,
+from cellfold.queries import (ORACLE_SQL, _G1_MON_SQL, _G1_SHEET, _G1_WB, _G2_AGG_SQL,
+                              _MONTHS_SQL, _YEAR0,
                               _g2_pct_sql, _g3_program_sql, _g3_slots_sql, _rhu, register)
 from cellfold.sources.grids import (FORM_LABELS, LOCATION_HEADER, METERED_LABEL,
-                                    UNPLANNED_LABEL, g1_tabs)
+                                    UNPLANNED_LABEL)
 
 _G1_SHEETS_SQL = ("SELECT DISTINCT l_suppkey AS suppkey, CAST(year(l_shipdate) AS INTEGER) AS yr "
                   "FROM lineitem")
@@ -56,7 +57,7 @@ def _year_sheets(corpus):
 
 @register("sheet_catalog", f"""
 WITH s AS ({_G1_SHEETS_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx, {_G1_SHEET} AS sheet,
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx, {_G1_SHEET} AS sheet,
        'platform ' || CAST(yr AS VARCHAR) AS sheet_key
 FROM s
 UNION ALL
@@ -79,8 +80,8 @@ g3t AS (SELECT suppkey, yr, count(DISTINCT ptype) AS n_types,
                count(CASE WHEN returned = 0 THEN 1 END) AS n_cstr
         FROM s GROUP BY 1, 2),
 counts AS (
-  SELECT {_G1_WB} AS workbook, yr - 1994 AS sheet_idx, 'string' AS ctype, 21 AS n FROM g1
-  UNION ALL SELECT {_G1_WB}, yr - 1994, 'numeric', 36 FROM g1
+  SELECT {_G1_WB} AS workbook, yr - {_YEAR0} AS sheet_idx, 'string' AS ctype, 21 AS n FROM g1
+  UNION ALL SELECT {_G1_WB}, yr - {_YEAR0}, 'numeric', 36 FROM g1
   UNION ALL SELECT DISTINCT {_G1_WB}, 0, 'string', 2 FROM g1
   UNION ALL SELECT DISTINCT {_G1_WB}, 0, 'numeric', 1 FROM g1
   UNION ALL SELECT 'customer-' || CAST(custkey AS VARCHAR), 1, 'string',
@@ -91,9 +92,9 @@ counts AS (
   UNION ALL SELECT 'customer-' || CAST(custkey AS VARCHAR), 1, 'blank',
                    (r1 = 0)::INT + (r2 = 0)::INT + (r3 = 0)::INT + (r4 = 0)::INT FROM a
   UNION ALL SELECT 'customer-' || CAST(custkey AS VARCHAR), 0, 'string', 1 FROM a
-  UNION ALL SELECT 'schedule-' || CAST(suppkey AS VARCHAR), yr - 1994, 'string',
+  UNION ALL SELECT 'schedule-' || CAST(suppkey AS VARCHAR), yr - {_YEAR0}, 'string',
                    67 + 2 * n_types + 3 * n_pairs + n_pstr + n_cstr FROM g3t
-  UNION ALL SELECT 'schedule-' || CAST(suppkey AS VARCHAR), yr - 1994, 'numeric',
+  UNION ALL SELECT 'schedule-' || CAST(suppkey AS VARCHAR), yr - {_YEAR0}, 'numeric',
                    n_pnum + n_cnum FROM g3t)
 SELECT workbook, CAST(sheet_idx AS INTEGER) AS sheet_idx, ctype, CAST(n AS BIGINT) AS n_cells
 FROM counts WHERE n > 0
@@ -112,16 +113,22 @@ def q_cells_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Locate: P-06, P-01, P-02, P-03, P-05, P-04, P-07, P-08
 # ---------------------------------------------------------------------------
 
-_RESOLVE_TABS = g1_tabs() + ["Platform 2002", " platform 1995"]
+#: The tabs asked for, one per year of the data (``y``), in odd case.
+_TABS_SQL = ("SELECT CAST(y - lo AS INTEGER) AS tab_ord, CASE WHEN y % 2 = 1 THEN 'PLATFORM ' "
+             "ELSE 'platform ' END || CAST(y AS VARCHAR) AS tab FROM (SELECT lo, "
+             "unnest(range(lo, hi + 1 + {ahead})) AS y FROM (SELECT min(year(l_shipdate)) AS lo, "
+             "max(year(l_shipdate)) AS hi FROM lineitem))")
 
 
 @register("sheet_resolve", f"""
 WITH s AS ({_G1_SHEETS_SQL}), w AS (SELECT DISTINCT suppkey FROM s),
-t AS (SELECT * FROM {_values([(i, t) for i, t in enumerate(_RESOLVE_TABS)], ['tab_ord', 'tab'])}),
+y AS ({_TABS_SQL.format(ahead=1)}),
+t AS (SELECT * FROM y
+      UNION ALL SELECT max(tab_ord) + 1, ' ' || arg_min(tab, tab_ord) FROM y),
 p AS (SELECT * FROM {_values([('issue',), ('first_sheet',)], ['policy'])})
 SELECT p.policy, 'supplier-' || CAST(w.suppkey AS VARCHAR) AS workbook,
        CAST(t.tab_ord AS INTEGER) AS tab_ord, t.tab AS tab,
-       CAST(CASE WHEN s.yr IS NOT NULL THEN s.yr - 1994
+       CAST(CASE WHEN s.yr IS NOT NULL THEN s.yr - {_YEAR0}
                  WHEN p.policy = 'first_sheet' THEN 0 END AS INTEGER) AS sheet_idx,
        s.yr IS NOT NULL AS found
 FROM w CROSS JOIN t CROSS JOIN p
@@ -129,8 +136,10 @@ LEFT JOIN s ON s.suppkey = w.suppkey AND lower(t.tab) = 'platform ' || CAST(s.yr
 """)
 def q_sheet_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets = catalog.g1(spark, sf_dir).sheets
-    return (sheet_resolve(sheets, _RESOLVE_TABS, "issue").withColumn("policy", F.lit("issue"))
-            .unionByName(sheet_resolve(sheets, _RESOLVE_TABS, "first_sheet")
+    tabs = catalog.g1_tabs(spark, sf_dir, ahead=1)  # the year after the last has no sheet
+    tabs.append(" " + tabs[0])  # a blank in the asked name is not trimmed
+    return (sheet_resolve(sheets, tabs, "issue").withColumn("policy", F.lit("issue"))
+            .unionByName(sheet_resolve(sheets, tabs, "first_sheet")
                          .withColumn("policy", F.lit("first_sheet"))))
 
 
@@ -142,7 +151,7 @@ WITH s AS ({_G1_SHEETS_SQL}),
 r AS (SELECT * FROM {_values([(1, ' ' + METERED_LABEL), (2, UNPLANNED_LABEL),
                               (3, UNPLANNED_LABEL.lower()), (4, 'Remarks')], ['row', 'txt'])}),
 x AS (
-  SELECT {_G1_WB} AS workbook, yr - 1994 AS sheet_idx, r.row,
+  SELECT {_G1_WB} AS workbook, yr - {_YEAR0} AS sheet_idx, r.row,
          CASE WHEN r.row = 1 THEN r.txt || chr(9) ELSE r.txt END AS text
   FROM s CROSS JOIN r
   UNION ALL SELECT DISTINCT {_G1_WB}, 0, 0, 'Summary' FROM s
@@ -159,7 +168,7 @@ def q_cell_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("find_label_first_col", f"""
 WITH s AS ({_G1_SHEETS_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx, r.role,
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx, r.role,
        CAST(r.row AS INTEGER) AS row
 FROM s CROSS JOIN {_values([('metered', 1), ('unplanned', 2)], ['role', 'row'])} AS r
 """)
@@ -169,7 +178,7 @@ def q_find_label_first_col(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("find_label_any", f"""
 WITH s AS ({_G3_SHEETS_SQL})
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(1 AS INTEGER) AS row, CAST(0 AS INTEGER) AS col
 FROM s
 """)
@@ -179,7 +188,7 @@ def q_find_label_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("find_header_anchor", f"""
 WITH s AS ({_G1_SHEETS_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(0 AS INTEGER) AS row, CAST(2 + suppkey % 3 AS INTEGER) AS col
 FROM s
 """)
@@ -225,7 +234,7 @@ def q_offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH s AS ({_G1_SHEETS_SQL}), mon AS ({_G1_MON_SQL}),
 g AS (SELECT s.suppkey, s.yr, k.k FROM s CROSS JOIN range(0, 12) AS k(k))
 SELECT {_G1_WB.replace('suppkey', 'g.suppkey')} AS workbook,
-       CAST(g.yr - 1994 AS INTEGER) AS sheet_idx, r.role, CAST(g.k AS INTEGER) AS k,
+       CAST(g.yr - {_YEAR0} AS INTEGER) AS sheet_idx, r.role, CAST(g.k AS INTEGER) AS k,
        CAST(coalesce(CASE r.role WHEN 'metered' THEN mon.m ELSE mon.u END, 0) AS DOUBLE) AS value
 FROM g CROSS JOIN {_values([('metered',), ('unplanned',)], ['role'])} AS r
 LEFT JOIN mon ON mon.suppkey = g.suppkey AND mon.yr = g.yr AND mon.mo = g.k + 1
@@ -487,13 +496,13 @@ def q_quarter_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("efficiency_pct", f"""
 WITH mon AS ({_G1_MON_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx, CAST(mo - 1 AS INTEGER) AS k,
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx, CAST(mo - 1 AS INTEGER) AS k,
        CAST(m AS DOUBLE) AS Metered_Value, CAST(u AS DOUBLE) AS Unplanned_Value,
        {_rhu('m / (m + u) * 100')} AS Result
 FROM mon WHERE m + u <> 0
 """)
 def q_efficiency_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pts = equipment_efficiency(catalog.g1(spark, sf_dir), g1_tabs()).stages["points"]
+    pts = equipment_efficiency(catalog.g1(spark, sf_dir), catalog.g1_tabs(spark, sf_dir)).stages["points"]
     return pts.filter(F.col("kept")).select(
         "workbook", "sheet_idx", F.col("k").cast("int").alias("k"),
         F.col("m").alias("Metered_Value"), F.col("u").alias("Unplanned_Value"),
@@ -511,7 +520,7 @@ SELECT {_G1_WB} AS workbook, CAST(2018 AS INTEGER) AS "Year",
 FROM kept
 """)
 def q_efficiency_pct_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return equipment_efficiency(catalog.g1(spark, sf_dir), g1_tabs(), compat=True).table
+    return equipment_efficiency(catalog.g1(spark, sf_dir), catalog.g1_tabs(spark, sf_dir), compat=True).table
 
 
 _T01_SQL = f"""
@@ -540,7 +549,8 @@ FROM ({_T01_SQL})
 def q_route_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.plans.dispatch import run_jobs
     corpus = catalog.g1(spark, sf_dir)
-    res = run_jobs(_g1_jobs(corpus), corpus, {"emy": g1_tabs(), "emy2": g1_tabs()})
+    tabs = catalog.g1_tabs(spark, sf_dir)
+    res = run_jobs(_g1_jobs(corpus), corpus, {"emy": tabs, "emy2": tabs})
     return res.efficiency
 
 
@@ -550,7 +560,7 @@ SELECT workbook, Platform_Name, count(*) AS n_months, min(Result) AS min_result,
 FROM ({_T01_SQL}) GROUP BY workbook, Platform_Name
 """)
 def q_multi_sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = equipment_efficiency(catalog.g1(spark, sf_dir), g1_tabs()).table
+    t = equipment_efficiency(catalog.g1(spark, sf_dir), catalog.g1_tabs(spark, sf_dir)).table
     return t.groupBy("workbook", "Platform_Name").agg(
         F.count(F.lit(1)).alias("n_months"), F.min("Result").alias("min_result"),
         F.max("Result").alias("max_result"))
@@ -562,7 +572,7 @@ def q_multi_sheet_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _G3_PAIRS_SQL = f"""
-    SELECT suppkey, yr, ptype, brand, substr(brand, 1, 7) AS descr,
+    SELECT suppkey, yr, ptype, brand, brand AS descr,
            3 + 2 * (row_number() OVER (PARTITION BY suppkey, yr ORDER BY ptype, brand) - 1) AS prow,
            dense_rank() OVER (PARTITION BY suppkey, yr ORDER BY ptype) + 1 AS decl_idx,
            min_size, last_ship
@@ -573,12 +583,12 @@ _G3_PAIRS_SQL = f"""
 
 @register("stride_pairs", f"""
 WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL})
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(decl_idx AS INTEGER) AS decl_idx, CAST(prow AS INTEGER) AS prow,
        CAST(prow + 1 AS INTEGER) AS crow
 FROM pr
 UNION ALL
-SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - 1994 AS INTEGER),
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
        CAST(1 AS INTEGER), CAST(1 AS INTEGER), CAST(2 AS INTEGER)
 FROM s
 """)
@@ -591,13 +601,13 @@ def q_stride_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("merged_regions_by_col", f"""
 WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL})
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(decl_idx AS INTEGER) AS decl_idx, CAST(min(prow) AS INTEGER) AS first_row,
        CAST(max(prow) + 1 AS INTEGER) AS last_row, CAST(0 AS INTEGER) AS first_col,
        CAST(decl_idx AS INTEGER) AS ordinal
 FROM pr GROUP BY suppkey, yr, decl_idx
 UNION ALL
-SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - 1994 AS INTEGER),
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
        CAST(1 AS INTEGER), CAST(1 AS INTEGER), CAST(2 AS INTEGER), CAST(0 AS INTEGER),
        CAST(1 AS INTEGER)
 FROM s
@@ -622,11 +632,11 @@ cnt AS (SELECT suppkey, yr, ptype, brand,
                    for k in range(1, 5))}
         FROM s GROUP BY 1, 2, 3, 4)
 SELECT 'schedule-' || CAST(pr.suppkey AS VARCHAR) AS workbook,
-       CAST(pr.yr - 1994 AS INTEGER) AS sheet_idx, CAST(prow AS INTEGER) AS prow,
+       CAST(pr.yr - {_YEAR0} AS INTEGER) AS sheet_idx, CAST(prow AS INTEGER) AS prow,
        {", ".join(f"{_pct_sql(k)} AS Quarter{k}" for k in range(1, 5))}
 FROM pr JOIN cnt USING (suppkey, yr, ptype, brand)
 UNION ALL
-SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - 1994 AS INTEGER),
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
        CAST(1 AS INTEGER), CAST('NaN' AS DOUBLE), CAST('NaN' AS DOUBLE), CAST('NaN' AS DOUBLE),
        CAST('NaN' AS DOUBLE)
 FROM s
@@ -649,21 +659,21 @@ def q_completion_pct_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dedupe_last_by_key", f"""
 WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL}),
-d AS (SELECT suppkey, yr, decl_idx, descr, min(prow) AS first_prow,
+d AS (SELECT suppkey, yr, decl_idx, substr(brand, 1, 7) AS descr, min(prow) AS first_prow,
              arg_max(min_size, prow) AS min_size, arg_max(last_ship, prow) AS last_ship
       FROM pr GROUP BY 1, 2, 3, 4)
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(decl_idx AS INTEGER) AS region_id, descr AS Description,
        CAST(first_prow AS INTEGER) AS first_prow, CAST(min_size AS VARCHAR) AS freq,
        strftime(last_ship, '%Y-%m-%d') AS last_insp
 FROM d
 UNION ALL
-SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - 1994 AS INTEGER),
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
        CAST(1 AS INTEGER), 'Description', CAST(1 AS INTEGER), 'Survey Frequency', 'Last Inspection'
 FROM s
 """)
 def q_dedupe_last_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = inspection_program(catalog.g3(spark, sf_dir)).stages["deduped"]
+    d = inspection_program(catalog.g3(spark, sf_dir, repeat=True)).stages["deduped"]
     return d.select("workbook", "sheet_idx", F.col("region_id").cast("int").alias("region_id"),
                     "Description", F.col("first_prow").cast("int").alias("first_prow"),
                     "freq", "last_insp")
@@ -671,13 +681,13 @@ def q_dedupe_last_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("location_flatten", f"""
 WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL})
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        CAST(decl_idx AS INTEGER) AS region_ord, ptype AS Location,
        'PF-' || lower(ptype) AS Platform_Installation, CAST(prow AS INTEGER) AS prow,
        descr AS Description
 FROM pr
 UNION ALL
-SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - 1994 AS INTEGER),
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
        CAST(1 AS INTEGER), 'Location', 'Platform Installation', CAST(1 AS INTEGER), 'Description'
 FROM s
 """)
@@ -698,8 +708,8 @@ def q_location_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("exclude_header_rows", f"""
 WITH s AS ({_g3_slots_sql()}),
-g AS (SELECT suppkey, yr, count(DISTINCT ptype || '|' || substr(brand, 1, 7)) AS n FROM s GROUP BY 1, 2)
-SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+g AS (SELECT suppkey, yr, count(DISTINCT ptype || '|' || brand) AS n FROM s GROUP BY 1, 2)
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        n + 1 AS n_before, n AS n_after
 FROM g
 """)
@@ -728,15 +738,15 @@ g AS (SELECT s.suppkey, s.yr, k.k, 2 + s.suppkey % 3 AS st FROM s CROSS JOIN ran
 v AS (SELECT g.*, coalesce(mon.m, 0) AS m, coalesce(mon.u, 0) AS u FROM g
       LEFT JOIN mon ON mon.suppkey = g.suppkey AND mon.yr = g.yr AND mon.mo = g.k + 1),
 c AS (
-  SELECT suppkey, yr - 1994 AS sheet_idx, 0 AS row, st + k AS col, 'string' AS ctype,
+  SELECT suppkey, yr - {_YEAR0} AS sheet_idx, 0 AS row, st + k AS col, 'string' AS ctype,
          CAST(NULL AS DOUBLE) AS num, {mon}[k + 1] AS text FROM v
-  UNION ALL SELECT suppkey, yr - 1994, 1, st + k, 'numeric', m, CAST(CAST(m AS BIGINT) AS VARCHAR) FROM v
-  UNION ALL SELECT suppkey, yr - 1994, 2, st + k, 'numeric', u, CAST(CAST(u AS BIGINT) AS VARCHAR) FROM v
-  UNION ALL SELECT suppkey, yr - 1994, 3, st + k, 'numeric', 99.0, '99' FROM v
-  UNION ALL SELECT s.suppkey, s.yr - 1994, t.row, t.col, 'string', NULL,
+  UNION ALL SELECT suppkey, yr - {_YEAR0}, 1, st + k, 'numeric', m, CAST(CAST(m AS BIGINT) AS VARCHAR) FROM v
+  UNION ALL SELECT suppkey, yr - {_YEAR0}, 2, st + k, 'numeric', u, CAST(CAST(u AS BIGINT) AS VARCHAR) FROM v
+  UNION ALL SELECT suppkey, yr - {_YEAR0}, 3, st + k, 'numeric', 99.0, '99' FROM v
+  UNION ALL SELECT s.suppkey, s.yr - {_YEAR0}, t.row, t.col, 'string', NULL,
                    CASE WHEN t.tab = 1 THEN t.txt || chr(9) ELSE t.txt END
             FROM s CROSS JOIN {text_rows} AS t
-  UNION ALL SELECT suppkey, yr - 1994, 4, 2 + suppkey % 3, 'string', NULL, 'JAN' FROM s
+  UNION ALL SELECT suppkey, yr - {_YEAR0}, 4, 2 + suppkey % 3, 'string', NULL, 'JAN' FROM s
   UNION ALL SELECT DISTINCT suppkey, 0, 0, 0, 'string', NULL, 'Summary' FROM s
   UNION ALL SELECT DISTINCT suppkey, 0, 1, 0, 'string', NULL, 'Supplier' FROM s
   UNION ALL SELECT DISTINCT suppkey, 0, 1, 1, 'numeric', CAST(suppkey AS DOUBLE),
@@ -761,22 +771,19 @@ def q_xlsx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # T-04 issues, S-09/P-16 dispatch, K-01 sink, Q-03 carry-over
 # ---------------------------------------------------------------------------
 
-_ISSUE_TABS = g1_tabs() + ["Platform 2003"]
-
-
 @register("issues", f"""
 WITH s AS ({_G1_SHEETS_SQL}), mon AS ({_G1_MON_SQL}), w AS (SELECT DISTINCT suppkey FROM s),
 v AS (SELECT s.suppkey, s.yr, k.k, coalesce(mon.m, 0) AS m, coalesce(mon.u, 0) AS u
       FROM s CROSS JOIN range(0, 12) AS k(k)
       LEFT JOIN mon ON mon.suppkey = s.suppkey AND mon.yr = s.yr AND mon.mo = k.k + 1),
-t AS (SELECT * FROM {_values([(i, t) for i, t in enumerate(_ISSUE_TABS)], ['tab_ord', 'tab'])}),
+t AS ({_TABS_SQL.format(ahead=2)}),
 a AS ({_G2_AGG_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        'equipment_efficiency' AS operator,
        'metered month ' || CAST(k AS VARCHAR) || ': missing cell' AS reason
 FROM v WHERE m = 0
 UNION ALL
-SELECT {_G1_WB}, CAST(yr - 1994 AS INTEGER), 'equipment_efficiency',
+SELECT {_G1_WB}, CAST(yr - {_YEAR0} AS INTEGER), 'equipment_efficiency',
        'unplanned month ' || CAST(k AS VARCHAR) || ': not numeric: string'
 FROM v WHERE u = 0
 UNION ALL
@@ -792,22 +799,32 @@ FROM a WHERE n_orders = 0
 """)
 def q_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.sources.grids import g1_with_faults, g2_with_faults
-    t01 = equipment_efficiency(g1_with_faults(catalog.g1(spark, sf_dir)), _ISSUE_TABS)
+    t01 = equipment_efficiency(g1_with_faults(catalog.g1(spark, sf_dir)),
+                               catalog.g1_tabs(spark, sf_dir, ahead=2))
     t02 = form_record(g2_with_faults(catalog.g2(spark, sf_dir)))
     t03 = inspection_program(catalog.g3(spark, sf_dir))
     return t01.issues.unionByName(t02.issues).unionByName(t03.issues)
 
 
-def _t01_counts_sql() -> str:
-    return f"SELECT workbook, count(*) AS n FROM ({_T01_SQL}) GROUP BY workbook"
+_FORM_NUMBERS = [c for c in FORM_COLUMNS if c not in ("workbook", "Document_Id", "Year")]
+
+
+def _unpivot_sql(names: list[str]) -> str:
+    values = ", ".join(f"TRY_CAST({n} AS DOUBLE)" for n in names)
+    return f"unnest([{', '.join(map(_sql_str, names))}]) AS field, unnest([{values}]) AS value"
 
 
 @register("job_dispatch", f"""
-WITH e AS ({_t01_counts_sql()}),
-i AS (SELECT workbook, count(*) AS n FROM ({_g3_program_sql('slot // 12 + 1')}) GROUP BY workbook)
-SELECT workbook, 'emy' AS kind, CAST(n AS BIGINT) AS n_rows FROM e
-UNION ALL SELECT 'customer-' || CAST(c_custkey AS VARCHAR), 'adequacy', CAST(1 AS BIGINT) FROM customer
-UNION ALL SELECT workbook, 'aims', CAST(n AS BIGINT) FROM i
+SELECT workbook, 'emy' AS kind, Platform_Name || '|' || Month AS item, 'Result' AS field,
+       Result AS value
+FROM ({_T01_SQL})
+UNION ALL
+SELECT workbook, 'adequacy', '', {_unpivot_sql(_FORM_NUMBERS)}
+FROM ({ORACLE_SQL['form_record']})
+UNION ALL
+SELECT workbook, 'aims', sheet_idx || '|' || Location || '|' || Description,
+       {_unpivot_sql([f'Quarter{k}' for k in range(1, 5)])}
+FROM ({_g3_program_sql('slot // 12 + 1')})
 """)
 def q_job_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.plans.dispatch import run_jobs
@@ -818,13 +835,19 @@ def q_job_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return c.sheets.select("workbook").distinct().withColumn("kind", F.lit(kind))
     # raw kinds in odd case and with blanks: dispatch normalises them once
     jobs = jobs_of(g1, " Emy ").unionByName(jobs_of(g2, "ADEQUACY")).unionByName(jobs_of(g3, "aims"))
-    res = run_jobs(jobs, corpus, {"emy": g1_tabs(), "emy2": g1_tabs()})
+    tabs = catalog.g1_tabs(spark, sf_dir)
+    res = run_jobs(jobs, corpus, {"emy": tabs, "emy2": tabs})
 
-    def count(df, kind):
-        return df.groupBy("workbook").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-            "kind", F.lit(kind))
-    return (count(res.efficiency, "emy").unionByName(count(res.form, "adequacy"))
-            .unionByName(count(res.inspection, "aims")).select("workbook", "kind", "n_rows"))
+    def values(df, kind, item, names):
+        pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.expr(f"try_cast({n} AS DOUBLE)").alias("value"))
+                          for n in names])
+        return df.select("workbook", F.lit(kind).alias("kind"), item.alias("item"),
+                         F.inline(pairs))
+    return (values(res.efficiency, "emy", F.concat_ws("|", "Platform_Name", "Month"), ["Result"])
+            .unionByName(values(res.form, "adequacy", F.lit(""), _FORM_NUMBERS))
+            .unionByName(values(res.inspection, "aims",
+                                F.concat_ws("|", "sheet_idx", "Location", "Description"),
+                                [f"Quarter{k}" for k in range(1, 5)])))
 
 
 @register("orc_append_roundtrip", f"""
@@ -838,7 +861,7 @@ def q_orc_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
     from cellfold.session import scratch_path
     from cellfold.sinks.orc import append_orc
-    t = equipment_efficiency(catalog.g1(spark, sf_dir), g1_tabs()).table
+    t = equipment_efficiency(catalog.g1(spark, sf_dir), catalog.g1_tabs(spark, sf_dir)).table
     target = scratch_path(spark, f"orc_append_{uuid.uuid4().hex}")
     append_orc(t, target)
     append_orc(t, target)  # a re-run appends again: the row count doubles
@@ -903,7 +926,7 @@ l AS (SELECT eff.suppkey, eff.yr, eff.ord,
                   ELSE coalesce('PF-' || lower(b.loc), '') END AS Platform_Installation
       FROM eff LEFT JOIN blk b ON b.suppkey = eff.suppkey AND b.yr = eff.yr
                               AND b.first_row = eff.first_row)
-SELECT 'schedule-' || CAST(d.suppkey AS VARCHAR) AS workbook, CAST(d.yr - 1994 AS INTEGER) AS sheet_idx,
+SELECT 'schedule-' || CAST(d.suppkey AS VARCHAR) AS workbook, CAST(d.yr - {_YEAR0} AS INTEGER) AS sheet_idx,
        l.Location, d.descr AS Description, d.freq AS Survey_Frequency, l.Platform_Installation,
        d.last_insp AS Last_Inspection, {pct}
 FROM d JOIN l ON l.suppkey = d.suppkey AND l.yr = d.yr AND l.ord = d.ord

@@ -27,9 +27,6 @@ MONTH_ABBR = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
 METERED_LABEL = "Total Metered Production"
 UNPLANNED_LABEL = "Total Actual Unplanned Deferment (UPD) - WORPE"
 
-G1_YEARS = list(range(1995, 2002))
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,9 +37,16 @@ def g1_sheet_name(suppkey, year) -> F.Column:
                     F.when(F.pmod(suppkey, F.lit(4)) == 0, F.lit(" ")).otherwise(F.lit("")))
 
 
-def g1_tabs() -> list[str]:
-    """Requested tab names for G1, in odd case (compared lower-cased)."""
-    return [f"PLATFORM {y}" if y % 2 else f"platform {y}" for y in G1_YEARS]
+def ship_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The calendar years from the first to the last ship date of the data."""
+    y = F.year("l_shipdate")
+    lo, hi = _table(spark, sf_dir, "lineitem").agg(F.min(y), F.max(y)).first()
+    return [] if lo is None else list(range(lo, hi + 1))
+
+
+def g1_tab(year: int) -> str:
+    """Requested tab name of a year, in odd case (compared lower-cased)."""
+    return f"PLATFORM {year}" if year % 2 else f"platform {year}"
 
 
 def g1_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +73,9 @@ def g1_metric_grid(spark: SparkSession, sf_dir: str) -> Corpus:
     # the monthly sums feed cells, sheets and merges: compute them once
     mon = cut_lineage(g1_monthly(spark, sf_dir))
     # sheet 0 is a summary tab; the year tabs follow in year order
+    first = (ship_years(spark, sf_dir) or [0])[0]
     base = mon.selectExpr("concat('supplier-', CAST(suppkey AS STRING)) AS workbook",
-                          "CAST(year - 1994 AS INT) AS sheet_idx", "suppkey", "year",
+                          f"CAST(year - {first} + 1 AS INT) AS sheet_idx", "suppkey", "year",
                           "2 + CAST(pmod(suppkey, 3) AS INT) AS start",
                           *[f"m{k}" for k in range(1, 13)], *[f"u{k}" for k in range(1, 13)])
     met_label = " " + METERED_LABEL + "\t"
@@ -262,16 +267,14 @@ def g3_slots(spark: SparkSession, sf_dir: str, blocks: str = "type") -> DataFram
                  F.max("l_shipdate").alias("last_ship")))
 
 
-def g3_description(brand) -> F.Column:
-    """Description text: the brand family ('Brand#1' for Brand#1 and
-    Brand#10..19), so descriptions repeat inside a location block."""
-    return F.substring(brand, 1, 7)
-
-
 def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START,
-                     blocks: str = "type") -> Corpus:
+                     blocks: str = "type", repeat: bool = False) -> Corpus:
     """G3. One workbook per supplier, one sheet per ship year.
 
+    The description of a pair is its brand. ``repeat`` writes the brand's
+    family instead ('Brand#1' for Brand#1 and Brand#10..19), so descriptions
+    repeat inside a block; the last-wins key runs on that variant.
+
     Row 1 is the header ('Location' in column 0, month headers from column
     ``start`` every 4 columns), row 2 the week labels; the header rows form
     a 2-row merged region in column 0. Every part type is a location block:
@@ -287,7 +290,8 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START,
     """
     # columns 'ptype' / 'brand' hold the block key / pair key of the variant
     slots = g3_slots(spark, sf_dir, blocks)
-    desc = "substring(brand, 1, 7)" if blocks == "type" else "brand"
+    desc = "substring(brand, 1, 7)" if repeat else "brand"
+    first = (ship_years(spark, sf_dir) or [0])[0]
     sheet_w = ["suppkey", "year"]
     by_pair = Window.partitionBy(*sheet_w, "ptype", "brand")
     by_block = Window.partitionBy(*sheet_w, "ptype")
@@ -305,7 +309,7 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START,
               .withColumn("sheet_first", F.row_number().over(
                   Window.partitionBy(*sheet_w).orderBy("ptype", "brand", "slot")) == 1)
               .withColumn("workbook", F.concat(F.lit("schedule-"), F.col("suppkey").cast("string")))
-              .withColumn("sheet_idx", (F.col("year") - F.lit(1994)).cast("int")))
+              .withColumn("sheet_idx", (F.col("year") - F.lit(first - 1)).cast("int")))
     # cells, merges and sheets all read the placed slots: compute them once
     placed = cut_lineage(placed)
 

@@ -7,7 +7,6 @@ import re
 from cellfold.plans import catalog
 from cellfold.plans.efficiency import equipment_efficiency
 from cellfold.plans.inspection import inspection_program
-from cellfold.sources.grids import g1_tabs
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,7 +35,7 @@ def _cells_scans(plan: str):
 
 
 def test_flagship_pushdown_and_pruning(spark):
-    t = equipment_efficiency(catalog.g1(spark, SF), g1_tabs()).table
+    t = equipment_efficiency(catalog.g1(spark, SF), catalog.g1_tabs(spark, SF)).table
     scans = _cells_scans(_plan(t))
     assert scans, "no cells scan found"
     # the anchor profile pass pushes its label predicates into the scan

@@ -118,6 +118,21 @@ def test_q08_percent_before_planned(spark):
     assert math.isnan(c["Perc_of_Procedure_Rvd_Vs__Plnd_Q1"])
 
 
+def test_q08_two_planned_blocks(spark):
+    """compat: the % block knows the planned block before it, not the last one."""
+    sheet = form_sheet(BASE)
+    after = max(r for r, _ in sheet["cells"]) + 2
+    sheet["cells"][(after, 0)] = FORM_LABELS["planned"]
+    sheet["merges"].append((after, after + 3, 0, 20))
+    for i in range(4):
+        sheet["cells"][(after + i, V)] = 0
+    (c,) = run(spark, sheet, compat=True).table.collect()
+    assert [c[f"Planned_for_Review_Q{q}"] for q in range(1, 5)] == [0] * 4  # the last block
+    assert c["Perc_of_Procedure_Rvd_Vs__Plnd_Q1"] == 88.0
+    (d,) = run(spark, sheet).table.collect()
+    assert math.isnan(d["Perc_of_Procedure_Rvd_Vs__Plnd_Q1"])
+
+
 def test_q11_missing_form_sheet(spark):
     res = run(spark, form_sheet(BASE), sheet_name="Another sheet")
     assert res.table.count() == 0

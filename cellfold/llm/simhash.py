@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellfold.llm.common import ascii_words, checkpoint, split_joined
@@ -61,16 +61,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with fp the fingerprint as a signed long; one row per input row."""
+                 shingle: int = 3, **longs: Column) -> DataFrame:
+    """(doc_id, fp) with fp the fingerprint as a signed long; one row per input row.
+    Further columns, longs that are never null, are passed on by name."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64),
+                                **{c: b[c] for c in names}})
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).alias("text"))
-            .mapInPandas(run, "doc_id long, fp long"))
+    names = list(longs)
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        *[c.alias(n) for n, c in longs.items()])
+            .mapInPandas(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *names])))
 
 
 def pivot_masks(blocks: int = 5, per_block: int = 6, seed: int = 7) -> list[list[int]]:
@@ -134,6 +137,13 @@ def links(fps: DataFrame, max_bits: int = 2, blocks: int = 5, per_block: int = 6
     return pairs.unionByName(through).distinct()
 
 
+def _rooted(distinct: DataFrame, max_bits: int, **search) -> DataFrame:
+    """Adds ``root``, never null, to distinct fingerprints: the smallest of the component."""
+    root = components(checkpoint(links(distinct, max_bits, **search)))
+    return (distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("root", F.coalesce("root", "fp")))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = 3, max_bits: int = 2, **search) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
@@ -146,10 +156,36 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     fp = checkpoint(fingerprints(docs, id_col, text_col, shingle))
     distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    root = components(checkpoint(links(distinct, max_bits, **search)))
-    merged = (distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
+    merged = _rooted(distinct, max_bits, **search)
     lowest = merged.groupBy("root").agg(F.min("low").alias("component_id"))
     label = merged.join(lowest, "root").select("fp", "component_id")
     return fp.join(label, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = 3, max_bits: int = 2, **search) -> DataFrame:
+    """One row of each component, with all columns: that of the smallest id (null
+    ids last), and among rows of that id the one with the smallest row hash.
+
+    Ids need not be unique or present: a row is known by its id and two hashes
+    of all its columns. Of rows equal in every column, one stays.
+    """
+    cells = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    row_id = F.col(id_col).cast("long")
+    hashes = {"h1": F.xxhash64(*cells), "h2": F.xxhash64(F.lit(1), *cells)}
+    fp = checkpoint(fingerprints(docs, id_col, text_col, shingle, **hashes))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", "n"))
+    distinct = checkpoint(fp.groupBy("fp", "doc_id", "h1", "h2").agg(F.count("*").alias("n"))
+                          .groupBy("fp").agg(first.alias("low")))
+    lead = checkpoint(_rooted(distinct, max_bits, **search).groupBy("root")
+                      .agg(F.min("low").alias("low"))
+                      .select(F.col("low.doc_id").alias("lead_id"), F.col("low.h1").alias("lead_h1"),
+                              F.col("low.h2").alias("lead_h2"), F.col("low.n").alias("n")))
+
+    def rows(keys: DataFrame) -> DataFrame:
+        met = (row_id.eqNullSafe(F.col("lead_id")) & (hashes["h1"] == F.col("lead_h1"))
+               & (hashes["h2"] == F.col("lead_h2")))
+        return docs.join(keys.drop("n"), met, "left_semi")
+
+    return rows(lead.filter("n = 1")).unionByName(rows(lead.filter("n > 1")).distinct())

@@ -11,23 +11,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cellfold.llm import decontam, mixing, quality, simhash
-from cellfold.llm.common import checkpoint, table
+from cellfold.llm.common import table
 from cellfold.llm.queries import token_file_digests
 from cellfold.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (null matches null)."""
-    keep = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi").select(*COLUMNS)
-
-
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -35,15 +27,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of the smallest id; of repeated rows, one."""
-    groups = checkpoint(simhash.simhash_groups(docs, shingle=3, max_bits=2))
-    lead = (groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.count("*").alias("n")))
-    once = _rows(docs, lead.filter("n = 1"))
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in COLUMNS])
-    again = (_rows(docs, lead.filter("n > 1")).withColumn("nth", F.row_number().over(order))
-             .filter("nth = 1").select(*COLUMNS))
-    return once.unionByName(again)
+    """One row of each group: that of the smallest id, null ids last."""
+    return simhash.representatives(docs.select(*COLUMNS), shingle=3, max_bits=2)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

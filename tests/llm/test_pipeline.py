@@ -60,3 +60,16 @@ def test_stages_keep_the_columns_and_handle_odd_rows(spark):
         assert corpus_pipeline.token_output(spark, docs, SF).count() == len(data)
     once = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()
     assert sorted(r.doc_id or 0 for r in once) == [0, 1, 2]
+
+
+def test_near_duplicates_keep_one_row_of_each_group_whatever_the_ids(spark, make_docs):
+    def text(k):
+        return " ".join(hashlib.md5(f"{k}:{i}".encode()).hexdigest() for i in range(30))
+    rows = [(None, text(k)) for k in range(6)]                    # no id, all different
+    rows += [(7, text("a")), (7, text("b"))]                      # one id, two texts
+    rows += [(4, text("c")), (None, text("c")), (9, text("c"))]   # copies, one without id
+    rows += [(None, text("d"))] * 5 + [(5, text("e"))] * 3        # repeated rows
+    got = corpus_pipeline.near_duplicates(spark, make_docs(rows), SF).collect()
+    kept = [(None, text(k)) for k in range(6)] + [(7, text("a")), (7, text("b")), (4, text("c")),
+                                                  (None, text("d")), (5, text("e"))]
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((i or 0, t) for i, t in kept)

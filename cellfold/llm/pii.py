@@ -35,6 +35,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]+")
+_ADDRESS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[str, int, int]
 
@@ -259,11 +260,26 @@ class BiLstmCrf:
 # -- windows -----------------------------------------------------------------
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Surroundings of digits and at signs, merged."""
-    out: list[tuple[int, int]] = []
+    """Surroundings of digits and at signs, merged; an edge inside a run of address
+    characters moves out to the end of that run, so that no address is cut."""
+    near: list[tuple[int, int]] = []
     for m in _ANCHOR.finditer(text):
         a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
+        if near and a <= near[-1][1]:
+            near[-1] = near[-1][0], b
+        else:
+            near.append((a, b))
+    out: list[tuple[int, int]] = []
+    for a, b in near:
+        done = out[-1][1] if out else 0
+        if text[a] in _ADDRESS:
+            while a > done and text[a - 1] in _ADDRESS:
+                a -= 1
+        b = max(b, done)
+        if b > done and text[b - 1] in _ADDRESS:
+            while b < len(text) and text[b] in _ADDRESS:
+                b += 1
+        if out and a <= done:
             out[-1] = out[-1][0], b
         else:
             out.append((a, b))

@@ -165,3 +165,18 @@ def test_personal_data_with_model(spark, make_docs):
     assert {(r.doc_id, len(r.base)) for r in got} >= {(None, 1), (2, 0), (3, 0)}
     assert pii.personal_data(make_docs([]), None).count() == 0
     assert pii.redact("a x@y.zz b", [("email", 2, 8)]) == "a [email] b"
+
+
+def test_a_model_span_is_not_cut_inside_a_long_address():
+    class Everything:
+        def decode(self, chars):
+            return np.full(chars.shape, 2 * pii.KINDS.index("email") + 2)
+
+    user, host = "a.very.long.department.name." * 8 + "person", "long-host-name." * 9 + "org"
+    for at in ("@", " @ "):
+        text = f"write to {user}{at}{host} or so, " + "x" * 200
+        (kind, a, b), = pii.model_spans(Everything(), [text])[0]
+        assert kind == "email" and user + at + host in text[a:b] and len(text[a:b]) < len(text) - 100
+    for text in ("q" * 300 + "7" + "q" * 300 + "7" + "q" * 90, "7" + "ab" * 99 + " " + "ab" * 99 + "7"):
+        found = pii.regions(text)
+        assert all(a < b for a, b in found) and all(x[1] < y[0] for x, y in zip(found, found[1:]))

@@ -145,26 +145,29 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: i
                 sample: int = 6000) -> NBSVM:
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
-    Null ids, labels other than 0 and 1, and ids labelled both ways are left
-    out; repeated rows count once.
+    Null ids, labels other than 0 and 1, ids labelled both ways and ids that
+    ``docs`` does not have are left out. An id counts once, however many rows
+    it has: with the text of the smallest hash.
     """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = (labels.filter("doc_id is not null and quality in (0, 1)")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min("quality").cast("int").alias("y"), F.max("quality").cast("int").alias("top"))
              .filter((F.col("y") == F.col("top")) & (doc_fold(F.col("doc_id"), folds) != held_fold)))
+    known = known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "y")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = Indicators()
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "found": [
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "hash": b["hash"], "found": [
                 pack_sorted(find.of(t).astype(np.uint64)) for t in b["text"]]})
 
     # the sample has a fixed bound, so it may go to every task
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .join(F.broadcast(chosen), "doc_id")
-            .mapInPandas(features, "doc_id long, y int, found binary")
-            .dropDuplicates().orderBy("doc_id", "found").collect())
+    rows = (texts.join(F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("text"))
+            .mapInPandas(features, "doc_id long, y int, hash long, found binary")
+            .groupBy("doc_id", "y").agg(F.min(F.struct("hash", "found"))["found"].alias("found"))
+            .orderBy("doc_id").collect())
     return NBSVM([unpack_sorted(r["found"]).astype(np.uint32) for r in rows], [r["y"] for r in rows])
 
 

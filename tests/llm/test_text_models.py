@@ -103,6 +103,27 @@ def test_quality_edge_rows(spark, make_docs):
     assert quality.quality_scores(docs, empty).count() == 6
 
 
+def test_quality_sample_is_of_rows_that_are_there(spark, make_docs):
+    free = [i for i in range(200) if held(i, 4, 2) is False][:40]
+    docs = [(i, f"fine plain words {i}" if i % 2 else f"$$ ## {i} !!") for i in free]
+    docs += [(free[0], f"other text {k} of one id") for k in range(50)]
+    rows = [(i, i % 2) for i in free] + [(i, i % 2) for i in range(1000, 3000)]  # the latter not in docs
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    seen = []
+
+    class Seen(quality.NBSVM):
+        def __init__(self, rows, labels):
+            seen.append((len(rows), sum(labels)))
+            super().__init__(rows, labels)
+
+    real, quality.NBSVM = quality.NBSVM, Seen
+    try:
+        quality.fit_quality(make_docs(docs), labels, sample=len(free))
+    finally:
+        quality.NBSVM = real
+    assert seen == [(len(free), sum(i % 2 for i in free))]
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
             "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

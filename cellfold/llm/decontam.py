@@ -150,9 +150,9 @@ class Windows:
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str,
                 block_chars: int) -> list[DataFrame]:
-    """The benchmark as blocks of about ``block_chars`` characters."""
+    """The benchmark as blocks of about ``block_chars`` characters, repeated rows once."""
     rows = items.select(F.col(id_col).cast("string").alias("item"),
-                        F.col(text_col).alias("text"))
+                        F.col(text_col).alias("text")).distinct()
     chars = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 16)).first()[0] or 0
     blocks = max(1, -(-int(chars) // block_chars))
     if blocks == 1:

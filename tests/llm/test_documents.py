@@ -53,6 +53,14 @@ def test_contamination_matches_plain_search(spark, make_docs, block_chars):
     assert "component_id" in clean.columns
 
 
+def test_item_blocks_hold_a_repeated_item_once(spark):
+    rows = [("a", "same words " * 10)] * 400 + [(str(k), f"item {k} " * 10) for k in range(40)]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = [b.collect() for b in decontam.item_blocks(items, "item_id", "text", 2000)]
+    assert sorted(map(tuple, (r for b in blocks for r in b))) == sorted(set(rows))
+    assert max(sum(len(r.text) + 16 for r in b) for b in blocks) < 6000
+
+
 def test_contamination_of_empty_tables(spark, make_docs):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontam.contamination(make_docs([]), bench).count() == 0

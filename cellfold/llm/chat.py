@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellfold.llm.common import id_text, with_long_id
+
 TEMPLATE = {
     "begin": "<s>",
     "roles": {
@@ -140,8 +142,8 @@ def format_conversations(turns: DataFrame, template: dict = TEMPLATE,
                             [{"text": s, "loss": x} for s, x in seg], spans,
                             f.check([t["role"] for t in said])))
             yield pd.DataFrame(out, columns=["conv_id", "formatted", "segments", "loss_spans",
-                                             "fault"]).astype({"conv_id": "Int64"})
+                                             "fault"])
 
-    return rows.mapInPandas(run, "conv_id long, formatted string, "
-                            "segments array<struct<text:string,loss:boolean>>, "
-                            "loss_spans array<struct<start:long,end:long>>, fault string")
+    return with_long_id(rows.withColumn("conv_id", id_text("conv_id")).mapInPandas(
+        run, "conv_id string, formatted string, segments array<struct<text:string,loss:boolean>>, "
+             "loss_spans array<struct<start:long,end:long>>, fault string"), "conv_id")

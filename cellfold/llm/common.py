@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from cellfold.session import cut_lineage
 
+INT64_MIN = -(1 << 63)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +25,17 @@ def doc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
+def id_text(column: str) -> Column:
+    """An integer id as decimal text. Python stages carry ids so: a nullable long
+    would reach pandas as a double and lose its last digits."""
+    return F.col(column).cast("long").cast("string")
+
+
+def with_long_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The id that ``id_text`` made, as a long again."""
+    return df.withColumn(name, F.col(name).cast("long"))
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

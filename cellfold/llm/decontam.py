@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellfold.llm.common import utf8
+from cellfold.llm.common import id_text, utf8, with_long_id
 
 #: A-Z to a-z; every other ASCII byte that is not 0-9 or a-z to a blank.
 _WORD_BYTES = bytes(
@@ -193,10 +193,11 @@ def _scan(docs: DataFrame, ordered) -> DataFrame:
                 words = words_of(text)
                 rows.append((doc, copy, len(words), *ix.hits(words)))
             out = pd.DataFrame(rows, columns=["doc_id", "digest", "n_words", "items", "spans"])
-            yield out.astype({"doc_id": "Int64", "digest": "int64"})
+            yield out.astype({"digest": "int64"})
 
-    return docs.mapInPandas(find, "doc_id long, digest long, n_words long, "
-                                  "items array<string>, spans array<array<long>>")
+    return with_long_id(docs.withColumn("doc_id", id_text("doc_id")).mapInPandas(
+        find, "doc_id string, digest long, n_words long, items array<string>, "
+              "spans array<array<long>>"))
 
 
 def _occurs(sent):
@@ -246,7 +247,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
         hit = F.array_distinct(F.flatten(F.transform(
             F.flatten(F.collect_set("spans")),
             lambda s: F.sequence(s[0], s[1] - F.lit(1)))))
-        merged = (found.groupBy(*[F.coalesce(k, F.lit(-1 << 62)).alias(k) for k in key])
+        merged = (found.groupBy(*key)
                   .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
                        F.array_sort(hit).alias("at")))
         runs = F.filter(F.transform("at", lambda x, i: F.when(
@@ -256,9 +257,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
             lambda x: x.isNotNull())
         merged = merged.select(*key, "items", F.zip_with(
             runs, ends, lambda a, b: F.array(a, b)).alias("spans"))
-        out = (parts[0].select("doc_id", "digest", "n_words")
-               .withColumn("doc", F.coalesce("doc_id", F.lit(-1 << 62)))
-               .join(merged.withColumnRenamed("doc_id", "doc"), ["doc", "digest"], "left")
+        out = parts[0].select("doc_id", "digest", "n_words")
+        out = (out.join(merged.withColumnRenamed("doc_id", "doc").withColumnRenamed("digest", "copy"),
+                        out.doc_id.eqNullSafe(F.col("doc")) & (out.digest == F.col("copy")), "left")
                .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
                .withColumn("spans", F.coalesce("spans", F.array().cast("array<array<long>>"))))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])

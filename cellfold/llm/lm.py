@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellfold.llm.blobs import pack, pack_sorted, unpack, unpack_sorted
-from cellfold.llm.common import ascii_words, checkpoint, doc_fold
+from cellfold.llm.common import ascii_words, checkpoint, doc_fold, id_text, with_long_id
 
 RETAINED, DELETED, HELD_OUT = 0, 1, 2
 END = xxhash.xxh64_intdigest(b"", 1)  # no word is empty
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 BUCKETS = 40
 
-_BLOCKS = ("block long, part int, docs array<long>, lens binary, n_tokens long, "
+_BLOCKS = ("block long, part int, docs array<string>, lens binary, n_tokens long, "
            "codes binary, hashes binary")
 
 
@@ -104,7 +104,7 @@ def blocks_of(docs: DataFrame, block_words: int) -> DataFrame:
         for b in batches:
             for doc, text, part in zip(b["doc_id"], b["text"], b["part"]):
                 words = ascii_words(text)
-                ids[part].append(None if pd.isna(doc) else int(doc))
+                ids[part].append(None if pd.isna(doc) else doc)
                 texts[part].append(words)
                 size[part] += len(words) + 1
                 if size[part] >= block_words:
@@ -244,8 +244,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     part = (F.when(doc_fold(F.col("doc_id"), folds) == held_fold, HELD_OUT)
             .when(F.pmod(F.xxhash64("doc_id"), F.lit(deleted_share)) == 0, DELETED)
             .otherwise(RETAINED))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text")).withColumn("part", part)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
+        .withColumn("part", part).withColumn("doc_id", id_text("doc_id"))
     blocks = checkpoint(blocks_of(rows, block_words))
     size = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
     tokens = {r["part"]: r["n"] for r in size}
@@ -279,11 +279,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
         known = (words > 0)[k.codes].astype(np.int64)
         at = np.cumsum(k.lens) - k.lens
         return pd.DataFrame({
-            "doc_id": pd.array(t["docs"].iloc[0], dtype="Int64"),
+            "doc_id": t["docs"].iloc[0],
             "held_out": int(t["part"].iloc[0]) == HELD_OUT, "n_tokens": k.lens,
             "n_known": np.add.reduceat(known, at), "train_tokens": n,
             "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(logp, at)})
 
-    return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+    return with_long_id(
+        blocks.groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, "
                                   "train_tokens long, base_score double, score double"))

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellfold.llm.common import id_text, with_long_id
+
 KINDS = ["email", "ip", "card", "phone"]
 TAGS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 WINDOW, STRIDE, CONTEXT = 64, 32, 32
@@ -459,12 +461,13 @@ def personal_data(docs: DataFrame, model: BiLstmCrf | None, id_col: str = "doc_i
             found = find_spans(model, ["" if t is None else t for t in b["text"]])
             rows = [[[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in pair]
                     for pair in found]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"],
                                 "base": [r[0] for r in rows], "all_spans": [r[1] for r in rows]})
 
     span = "array<struct<kind:string,start:long,end:long>>"
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInPandas(run, f"doc_id long, base {span}, all_spans {span}"))
+    return with_long_id(
+        docs.select(id_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInPandas(run, f"doc_id string, base {span}, all_spans {span}"))
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellfold.llm import chat, decontam, embed, lm, mixing, pii, quality, simhash, token_files, tokencount
-from cellfold.llm.common import table
+from cellfold.llm.common import id_text, table
 
 MIX_SEED = 1
 
@@ -82,12 +82,12 @@ def read_back(formatted: DataFrame, template: dict = chat.TEMPLATE) -> DataFrame
                 rows.append((conv, len(turns), "".join(f"{r}\n{t}\n" for r, t in turns),
                              len(learned), learned, len(text), fault))
             yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "said", "loss_chars", "learned",
-                                              "formatted_chars", "fault"]).astype({"conv_id": "Int64"})
+                                              "formatted_chars", "fault"])
 
-    return (formatted.select("conv_id", "formatted", "loss_spans", "fault")
-            .mapInPandas(run, "conv_id long, n_turns long, said string, loss_chars long, "
+    return (formatted.select(id_text("conv_id").alias("conv_id"), "formatted", "loss_spans", "fault")
+            .mapInPandas(run, "conv_id string, n_turns long, said string, loss_chars long, "
                               "learned string, formatted_chars long, fault string")
-            .select("conv_id", "n_turns", F.sha2("said", 256).alias("turns_sha256"), "loss_chars",
+            .select(F.col("conv_id").cast("long").alias("conv_id"), "n_turns", F.sha2("said", 256).alias("turns_sha256"), "loss_chars",
                     F.sha2("learned", 256).alias("loss_sha256"), "formatted_chars",
                     F.col("fault").isNull().alias("in_order")))
 

@@ -34,8 +34,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from cellfold.llm.common import ascii_words, checkpoint, split_joined
+from cellfold.llm.common import ascii_words, checkpoint, id_text, split_joined, with_long_id
 from cellfold.llm.graph import components
 
 CHUNK = 1 << 15  # shingles whose bits are counted at once
@@ -71,9 +72,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                 **{c: b[c] for c in names}})
 
     names = list(longs)
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                        *[c.alias(n) for n, c in longs.items()])
-            .mapInPandas(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *names])))
+    return with_long_id(
+        docs.select(id_text(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                    *[c.alias(n) for n, c in longs.items()])
+        .mapInPandas(run, ", ".join(["doc_id string", "fp long", *[f"{c} long" for c in names]])))
 
 
 def pivot_masks(blocks: int = 5, per_block: int = 6, seed: int = 7) -> list[list[int]]:
@@ -151,8 +153,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     component_id is the smallest doc_id reachable over links, the row's own
     included. Null or empty text: fingerprint zero, linked like any other.
     Repeated rows are copies and get the same component. A null doc_id keeps
-    its row; a component whose ids are all null has a null component_id. An
-    empty table gives no rows; other columns are not read.
+    its row; a component whose ids are all null has a null component_id. Ids
+    are integers of up to 64 bits. An empty table gives no rows; other columns
+    are not read.
     """
     fp = checkpoint(fingerprints(docs, id_col, text_col, shingle))
     distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("low"))
@@ -163,15 +166,25 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _hashable(name: str, kind: DataType) -> Column:
+    """The column in a form that has a hash: whatever holds a map as JSON text."""
+    return F.to_json(F.struct(name)) if "map<" in kind.simpleString() else F.col(name)
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 2, **search) -> DataFrame:
     """One row of each component, with all columns: that of the smallest id (null
     ids last), and among rows of that id the one with the smallest row hash.
 
-    Ids need not be unique or present: a row is known by its id and two hashes
-    of all its columns. Of rows equal in every column, one stays.
+    Ids (integers, null allowed) need not be unique: a row is known by its id
+    and two hashes of all its columns. Of rows equal in every column, one
+    stays. Columns may have any names and types; two rows that differ only in
+    the order of a map's entries are not equal.
     """
-    cells = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    names = docs.columns
+    docs = docs.toDF(*[f"c{k}" for k in range(len(names))])  # names with dots, or like ours
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    cells = [x for f in docs.schema for x in (F.col(f.name).isNull(), _hashable(f.name, f.dataType))]
     row_id = F.col(id_col).cast("long")
     hashes = {"h1": F.xxhash64(*cells), "h2": F.xxhash64(F.lit(1), *cells)}
     fp = checkpoint(fingerprints(docs, id_col, text_col, shingle, **hashes))
@@ -188,4 +201,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                & (hashes["h2"] == F.col("lead_h2")))
         return docs.join(keys.drop("n"), met, "left_semi")
 
-    return rows(lead.filter("n = 1")).unionByName(rows(lead.filter("n > 1")).distinct())
+    # equal rows are one: their columns, maps as entries, are grouped and one of each is taken
+    many = rows(lead.filter("n > 1")).groupBy(row_id.alias("k0"), hashes["h1"].alias("k1"), hashes["h2"].alias("k2"))
+    one = many.agg(*[F.first(c).alias(c) for c in docs.columns]).drop("k0", "k1", "k2")
+    return rows(lead.filter("n = 1")).unionByName(one).toDF(*names)

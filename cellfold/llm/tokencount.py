@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellfold.llm.common import id_text, with_long_id
+
 MARK = "▁"  # stands before every pre-token, as in the vocabulary
 
 
@@ -105,12 +107,13 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 fresh = model.counts(list(new))
                 known.update(fresh)
                 yield pd.DataFrame({
-                    "doc_id": b["doc_id"][i:j].astype("Int64"),
+                    "doc_id": b["doc_id"][i:j],
                     "n_pre_tokens": [sum(x.values()) for x in bags],
                     "n_distinct": [len(x) for x in bags],
                     "n_tokens": [sum(known[w] * n for w, n in x.items()) for x in bags]})
                 for w in [w for w in fresh if len(w) > long_word]:
                     del known[w]
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInPandas(run, "doc_id long, n_pre_tokens long, n_distinct long, n_tokens long"))
+    return with_long_id(
+        docs.select(id_text(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInPandas(run, "doc_id string, n_pre_tokens long, n_distinct long, n_tokens long"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +58,30 @@ def split_joined(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
     lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(lens + 1) - 1
     return b" ".join(words), ends - lens, ends
+
+
+def text_slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``at_once`` bytes of text, at least one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    cuts = [0, *(np.flatnonzero(np.diff(size // at_once)) + 1).tolist(), len(texts)]
+    return ((i, j) for i, j in zip(cuts, cuts[1:]) if j > i)
+
+
+def sampled_cuts(rows: DataFrame, total: int, parts: int, key: Callable = lambda x: x,
+                 each: int = 50) -> list:
+    """About ``parts`` - 1 cuts of ``total`` rows into equal parts, from a sample of ``each``
+    rows a part. ``key`` turns rows into one column to order by. Only the cuts reach the driver."""
+    if parts < 2:
+        return []
+    share = min(1.0, each * parts / total)
+    step = max(1, round(total * share / parts))
+    part = key(rows if share == 1.0 else rows.sample(share, seed=1))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = step // 2
+        for b in batches:
+            yield b.take(pa.array(range(left, b.num_rows, step), pa.int64()))
+            left = left - b.num_rows if left >= b.num_rows else (left - b.num_rows) % step
+
+    column = part.columns[0]
+    return part.orderBy(column).mapInArrow(pick, part.schema).toArrow()[column].to_pylist()

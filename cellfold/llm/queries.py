@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontam, embed, lm, mixing, pii, quality, simhash, token_files, tokencount
+from cellfold.llm import chat, decontam, embed, lm, mixing, pii, quality, simhash, suffix, token_files, tokencount
 from cellfold.llm.common import id_text, table
 
 MIX_SEED = 1
@@ -109,9 +109,18 @@ def token_file_digests(docs: DataFrame) -> DataFrame:
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embeddings, op3_lm_scores, op4_decontaminate, op5_personal_data,
-    op6_mix_sources, op7_token_counts, op8_chat, op9_quality, op10_token_files)}
+    op6_mix_sources, op7_token_counts, op8_chat, op9_quality, op10_token_files,
+    op12_repeated_strings)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER

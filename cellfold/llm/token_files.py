@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cellfold.llm.common import INT64_MIN
+from cellfold.llm.common import INT64_MIN, sampled_cuts, text_slices
 from cellfold.llm.pfor import File, encode_file
 from cellfold.session import scratch_path
 
@@ -172,13 +172,6 @@ class WordEncoder:
         return np.concatenate(parts)
 
 
-def text_slices(texts: pa.Array, at_once: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``at_once`` bytes of text, at least one row."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    cuts = [0, *(np.flatnonzero(np.diff(size // at_once)) + 1).tolist(), len(texts)]
-    return ((i, j) for i, j in zip(cuts, cuts[1:]) if j > i)
-
-
 class Ranges:
     """Ranges of the id (a null counts as the smallest), from ascending cuts.
 
@@ -217,19 +210,7 @@ def id_cuts(docs: DataFrame, id_col: str, text_col: str, range_chars: int) -> np
     ranges = -(-(chars or 0) // size)
     if ranges < 2:
         return np.zeros(0, dtype=np.int64)
-    share = min(1.0, 200 * ranges / rows)
-    part = ids.select("k") if share == 1.0 else ids.sample(share, seed=1).select("k")
-    step = max(1, round(rows * share / ranges))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = step // 2
-        for b in batches:
-            yield b.slice(left).take(pa.array(range(0, max(0, b.num_rows - left), step), pa.int64()))
-            left = (left - b.num_rows) % step
-
-    # one number per range
-    got = part.orderBy("k").mapInArrow(pick, "k long").toArrow()
-    return np.sort(got["k"].to_numpy())
+    return np.array(sorted(sampled_cuts(ids.select("k"), rows, ranges, each=200)), dtype=np.int64)
 
 
 def encoded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, cuts: np.ndarray,

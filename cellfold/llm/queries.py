@@ -13,10 +13,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontam, embed, lm, mixing, pii, quality, simhash, suffix, token_files, tokencount
+from cellfold.llm import chat, decontam, embed, lm, merkle, mixing, pii, quality, simhash, suffix, token_files, tokencount
 from cellfold.llm.common import id_text, table
 
 MIX_SEED = 1
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +118,24 @@ def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", _UPPER, _LOWER)
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    seen = merkle.leaf_digest([F.when(tampered, lowered).otherwise(F.col(f)) if f == "text" else F.col(f)
+                               for f in merkle.FIELDS])
+    found = merkle.merkle_manifest(docs, seen=seen)
+    return found.select("doc_id", "leaf", "subroot", "root",
+                        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+                        merkle.fold(F.col("seen"), F.col("proof")).alias("folded_root")
+                        ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embeddings, op3_lm_scores, op4_decontaminate, op5_personal_data,
     op6_mix_sources, op7_token_counts, op8_chat, op9_quality, op10_token_files,
-    op12_repeated_strings)}
+    op12_repeated_strings, op13_manifest)}
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER
           + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 

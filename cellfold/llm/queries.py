@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellfold.llm import chat, decontam, embed, lm, merkle, mixing, pii, quality, simhash, suffix, token_files, tokencount
+from cellfold.llm import chat, decontam, embed, fim, lm, merkle, mixing, pii, quality, simhash, suffix, token_files, tokencount
 from cellfold.llm.common import id_text, table
 
 MIX_SEED = 1
@@ -110,6 +110,13 @@ def token_file_digests(docs: DataFrame) -> DataFrame:
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(fim.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
 def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.remove_repeats(table(spark, sf_dir, "documents"), length=200)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
@@ -134,7 +141,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embeddings, op3_lm_scores, op4_decontaminate, op5_personal_data,
     op6_mix_sources, op7_token_counts, op8_chat, op9_quality, op10_token_files,
-    op12_repeated_strings, op13_manifest)}
+    op11_fill_in_middle, op12_repeated_strings, op13_manifest)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER
           + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -208,4 +215,19 @@ SELECT conv_id, count(*) AS n_turns,
   bool_and(CASE role WHEN 'system' THEN before = '' WHEN 'user' THEN before <> 'user'
      WHEN 'assistant' THEN before = 'user' ELSE false END AND (after IS NOT NULL OR role = 'assistant')) AS in_order
 FROM e GROUP BY conv_id""",
+    "op11_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l,
+        list_transform([1, 9, 17, 25], lambda k: ('0x' || substr(h, k, 8))::BIGINT) AS r FROM d),
+c AS (SELECT *, len(l) AS n, least(r[1] % (len(l) + 1), r[2] % (len(l) + 1)) AS a,
+        greatest(r[1] % (len(l) + 1), r[2] % (len(l) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100
+             THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+x AS (SELECT *, coalesce(array_to_string(l[1:a], ''), '') AS p, coalesce(array_to_string(l[a + 1:b], ''), '') AS m,
+        coalesce(array_to_string(l[b + 1:], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM x""",
 }

@@ -138,6 +138,20 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _leaf_sql(text: str) -> str:
+    """DuckDB: digest of a row, its text taken from a column."""
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({f}::VARCHAR)) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+#: DuckDB: crc32 of the decimal doc_id, bit by bit
+_CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+  regexp_extract_all(coalesce(doc_id::VARCHAR, ''), '.'), lambda c: ascii(c)::BIGINT)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)),
+    lambda b, i: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END))"""
+_CRC32 = f"xor({_CRC32}, 4294967295)"
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_embeddings, op3_lm_scores, op4_decontaminate, op5_personal_data,
     op6_mix_sources, op7_token_counts, op8_chat, op9_quality, op10_token_files,
@@ -230,4 +244,51 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
          ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM x""",
+    "op12_repeated_strings": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (SELECT r, c, len(x) // 2 - 199 - c AS n, substr(x, 2 * c + 1, 1400) AS y
+      FROM (SELECT r, x, unnest(range(0, greatest(len(x) // 2 - 199, 0), 500)) AS c FROM d)),
+w AS (SELECT r, c + p AS p, md5(substr(y, 2 * p + 1, 400)) AS h
+      FROM (SELECT r, c, y, unnest(range(0, least(n, 500))) AS p FROM c)),
+again AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT r, p, p > lag(p, 1, -999) OVER (PARTITION BY r ORDER BY p) + 200 AS fresh FROM w JOIN again USING (h)),
+part AS (SELECT r, p, sum(fresh::INT) OVER (PARTITION BY r ORDER BY p) AS k FROM hit),
+span AS (SELECT r, k, min(p) AS a, max(p) + 200 AS b FROM part GROUP BY r, k),
+gap AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS c FROM span),
+own AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+               string_agg(substr(x, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS kept
+        FROM gap JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN own USING (r)""",
+    "op13_manifest": f"""
+WITH RECURSIVE f AS (SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, '{_UPPER}', '{_LOWER}') ELSE text END AS seen
+  FROM (SELECT *, ({_CRC32}) AS crc FROM documents)),
+l AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("seen")} AS seen FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+up AS (SELECT source, 0 AS level, i, leaf AS d, count(*) OVER (PARTITION BY source) AS n FROM r
+  UNION ALL SELECT * FROM (SELECT source, level + 1 AS level, i // 16 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d,
+    (max(n) + 15) // 16 AS n FROM up WHERE n > 1 GROUP BY source, level, i // 16)),
+s AS (SELECT source, level AS height, d AS subroot FROM up WHERE n = 1),
+t AS (SELECT 0 AS level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, subroot AS d, count(*) OVER () AS n FROM s
+  UNION ALL SELECT * FROM (SELECT level + 1 AS level, i // 16 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d,
+    (max(n) + 15) // 16 AS n FROM t WHERE n > 1 GROUP BY level, i // 16)),
+top AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j FROM s),
+runs AS (SELECT source, level, i // 16 AS g, list(d ORDER BY i) AS c FROM up WHERE n > 1 GROUP BY ALL),
+truns AS (SELECT level, i // 16 AS g, list(d ORDER BY i) AS c FROM t WHERE n > 1 GROUP BY ALL),
+fold AS (SELECT r.doc_id, r.source, r.i AS pos, 0 AS k, r.leaf, r.seen AS d, '' AS sib, top.height, top.subroot, top.j,
+    (SELECT max(level) FROM t) AS tops
+  FROM r JOIN top ON r.source IS NOT DISTINCT FROM top.source
+  UNION ALL SELECT fold.doc_id, fold.source, CASE WHEN k + 1 = height THEN j ELSE pos // 16 END, k + 1, leaf,
+    sha256(array_to_string(run[1:pos % 16], '') || d || array_to_string(run[pos % 16 + 2:], '')),
+    sib || array_to_string(run[1:pos % 16], '') || array_to_string(run[pos % 16 + 2:], ''), height, subroot, j, tops
+  FROM (SELECT f.* REPLACE (CASE WHEN f.height = 0 AND k = 0 THEN j ELSE pos END AS pos),
+               coalesce(runs.c, truns.c) AS run
+        FROM fold f LEFT JOIN runs ON f.k < f.height AND runs.source IS NOT DISTINCT FROM f.source
+              AND runs.level = f.k AND runs.g = f.pos // 16
+        LEFT JOIN truns ON f.k >= f.height AND truns.level = f.k - f.height
+              AND truns.g = (CASE WHEN f.height = 0 AND k = 0 THEN f.j ELSE f.pos END) // 16
+        WHERE f.k < f.height + f.tops) fold)
+SELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, d AS folded_root, d = root AS verified
+FROM fold, (SELECT d AS root FROM t WHERE n = 1) WHERE k = height + tops""",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,14 +75,19 @@ def sampled_cuts(rows: DataFrame, total: int, parts: int, key: Callable = lambda
     if parts < 2:
         return []
     share = min(1.0, each * parts / total)
-    step = max(1, round(total * share / parts))
     part = key(rows if share == 1.0 else rows.sample(share, seed=1))
+    column = part.columns[0]
+    part = checkpoint(part.orderBy(column))
+    sizes = dict(part.groupBy(F.spark_partition_id()).count().collect())  # one number per partition
+    before, found = {}, 0
+    for p in sorted(sizes):
+        before[p], found = found, found + sizes[p]
+    step = max(1, round(found / parts))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = step // 2
+        at = before.get(TaskContext.get().partitionId(), 0)
         for b in batches:
-            yield b.take(pa.array(range(left, b.num_rows, step), pa.int64()))
-            left = left - b.num_rows if left >= b.num_rows else (left - b.num_rows) % step
+            yield b.take(pa.array(range((step - 1 - at) % step, b.num_rows, step), pa.int64()))
+            at += b.num_rows
 
-    column = part.columns[0]
-    return part.orderBy(column).mapInArrow(pick, part.schema).toArrow()[column].to_pylist()
+    return part.mapInArrow(pick, part.schema).toArrow()[column].to_pylist()[:parts - 1]

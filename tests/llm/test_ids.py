@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cellfold.llm import chat, decontam, lm, mixing, pii, quality, simhash, token_files, tokencount
+from cellfold.llm import chat, common, decontam, lm, mixing, pii, quality, simhash, token_files, tokencount
 from cellfold.llm.queries import read_back
 
 BIG = [2 ** 53 + 1, 2 ** 63 - 1, -2 ** 63, None, 2 ** 53 + 3]
@@ -119,3 +119,15 @@ def test_long_text_is_encoded_in_parts(spark, make_docs, tmp_path):
     import zstandard
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(got[1].ids)), "<u2")
     assert zlib.crc32(raw.astype("<u4").tobytes()) == crc[1]
+
+
+def test_sampled_cuts_do_not_depend_on_partitions(spark):
+    """Cuts lie at equal ranks, also where the sorted sample has more partitions than cuts."""
+    rows = spark.range(10_000).selectExpr("id * 7 % 10000 as k")
+    for n in (1, 8, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        assert sorted(common.sampled_cuts(rows, 10_000, 10, each=1000)) == list(range(999, 9000, 1000))
+        cuts = sorted(common.sampled_cuts(rows, 10_000, 10, each=100))
+        assert len(cuts) == 9 and max(abs(c - 1000 * (i + 1)) for i, c in enumerate(cuts)) < 700
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert common.sampled_cuts(rows.limit(0), 0, 1) == []

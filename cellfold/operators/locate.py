@@ -9,31 +9,18 @@ aggregation, so a very large sheet never lands in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellfold.functions.metrics import numeric_read, numeric_read_error
 from cellfold.functions.text import jtrim, label_key
-from cellfold.sources.bronze import MAX_COLS
+from cellfold.sources.bronze import BUCKET, MAX_COLS, SHEET_ID, keyed
 
 SHEET = ["workbook", "sheet_idx"]
 
 
-SHEET_ID = ["sid", "sid2"]
-
-
-def sheet_id() -> list[Column]:
-    """128-bit numeric sheet key in two columns, computed from (workbook, sheet_idx).
-
-    The large ``cells`` side of a join is keyed on these instead of the
-    workbook string (a file path at scale), so only numbers ride the shuffle;
-    the workbook name stays on the small side. The two 64-bit hashes chain the
-    columns in opposite order, so sheets that share one differ in the other.
-    """
-    return [F.xxhash64("workbook", "sheet_idx").alias("sid"),
-            F.xxhash64("sheet_idx", "workbook").alias("sid2")]
-
-
 def pos_key(row="row", col="col") -> Column:
     """Row-major position as one BIGINT, so 'last match' is a plain max()."""
     r = F.col(row) if isinstance(row, str) else row
@@ -178,17 +165,28 @@ def find_header_anchor(cells: DataFrame, header: str, blank_col: int = 0) -> Dat
 # P-07 offset projection and P-08 fixed-width column window
 # --------------------------------------------------------------------------
 
-def read_targets(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """Left equi-join of target positions to the cells stored there.
+def read_cells(cells: DataFrame, targets: DataFrame, columns: list[str]) -> DataFrame:
+    """Left join of target positions (workbook, sheet_idx, row, col and tags) to the
+    cells stored there; adds the named columns of cells (NULL where none is stored).
 
-    ``targets`` carries workbook, sheet_idx, row, col plus any tag columns;
-    the result adds ctype, num, str, text (NULL ctype = no stored cell),
-    ``value`` (S-06 numeric view) and ``read_error``.
+    The join is on exactly the columns that cells are stored by (sheet key and
+    row), so cells stay in their buckets and only targets move; the column
+    picks among the cells of that row (at most 16384).
     """
-    c = cells.select(*sheet_id(), "row", "col", "ctype", "num", "str", "text")
-    t = targets.select("*", *sheet_id())
-    j = t.join(c, on=[*SHEET_ID, "row", "col"], how="left").drop(*SHEET_ID)
-    return (j.withColumn("value", numeric_read())
+    c = keyed(cells).select(*[F.col(x).alias(f"c_{x}") for x in (*BUCKET, "col", *columns)])
+    t = keyed(targets)
+    same = reduce(lambda a, b: a & b, [t[x] == c[f"c_{x}"] for x in BUCKET])
+    # the column is no join key: keys are exactly what cells are stored by
+    return (t.join(c, same & (c["c_col"] - t["col"] == 0), "left")
+            .select(*[x for x in targets.columns if x not in SHEET_ID],
+                    *[F.col(f"c_{x}").alias(x) for x in columns]))
+
+
+def read_targets(cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """``read_cells`` with ctype, num, str, text (NULL ctype = no stored cell), ``value``
+    (S-06 numeric view) and ``read_error``."""
+    return (read_cells(cells, targets, ["ctype", "num", "str", "text"])
+            .withColumn("value", numeric_read())
             .withColumn("read_error", numeric_read_error()))
 
 
@@ -206,7 +204,7 @@ def column_window(cells: DataFrame, anchors: DataFrame, width: int = 12,
     """Cells ``row, start .. start+width-1`` for every anchor (row, start).
 
     The anchor side is expanded to one target per column (a generator, not a
-    join), then equi-joined to ``cells``; ``k`` is the 0-based offset.
+    join), then read; ``k`` is the 0-based offset.
     """
     tags = tags or []
     t = (anchors.select(*SHEET, "row", F.col("start"), *tags,

@@ -44,6 +44,11 @@ def g3(spark: SparkSession, sf_dir: str, start: int = grids.WEEK_START,
                                                   repeat=repeat))
 
 
+def everything(spark: SparkSession, sf_dir: str) -> Corpus:
+    """The workbooks of the three grids as one stored corpus, as a run of many jobs has it."""
+    return _bronze(spark, ("all", sf_dir), lambda: g1(spark, sf_dir).union(g2(spark, sf_dir)).union(g3(spark, sf_dir)))
+
+
 def g1_tabs(spark: SparkSession, sf_dir: str, ahead: int = 0) -> list[str]:
     """Tab names to ask for: one per ship year of the data, and ``ahead`` after the last."""
     k = (spark.sparkContext.applicationId, sf_dir)

@@ -1,25 +1,27 @@
 """T-02 form record: one wide row of procedure-review figures per form sheet.
 
 The eight labels are data (``FORM_FIELDS``), not code: one filtered pass over
-``cells`` finds every label, a semi-join keeps those on a row where a merged
-region starts (the first declared region there fixes the block height), the
-last occurrence per field wins, the block's member rows are read 21 columns
-to the right by one equi-join, and a conditional aggregation per sheet folds
-the label/value rows into one record (an EAV pivot).
+``cells`` finds every label, a join keeps those on a row where a merged region
+starts (the first declared region there fixes the block height), the last
+occurrence per field wins, the block's member rows are read 21 columns to the
+right (``cellfold.plans.reading``), and a conditional aggregation per sheet
+folds the label/value rows into one record (an EAV pivot).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellfold.functions.metrics import guarded_percent, nan, string_read, text_percent
 from cellfold.functions.text import (arith_text_eval, blank_to_zero_int, formatted_text,
                                      jtrim, label_key, parse_int_strict)
-from cellfold.operators.locate import SHEET, pos_col, pos_key, pos_row, read_targets
+from cellfold.operators.locate import SHEET, pos_col, pos_key, pos_row
 from cellfold.operators.regions import list_drop_index, merged_height_by_row
-from cellfold.plans.efficiency import ProgramResult
 from cellfold.plans.issues import issue_rows, union_issues
+from cellfold.plans.reading import Program, ProgramResult, label_profile, own_profile, run_program
 from cellfold.sources.bronze import Corpus
 from cellfold.sources.grids import FORM_LABELS, FORM_SHEET, FORM_VALUE_OFFSET
 
@@ -46,23 +48,13 @@ def resolve_form_sheet(sheets: DataFrame, sheet_name: str = FORM_SHEET) -> DataF
             .groupBy("workbook").agg(F.max("sheet_idx").alias("sheet_idx")))
 
 
-def label_anchors(corpus: Corpus, form: DataFrame, labels: dict[str, str],
-                  planned_seen: bool = False) -> DataFrame:
-    """J-05/J-08 + A-02: per (sheet, field) the last label cell that sits on a
-    row where a merged region starts, with that region's height.
+def label_anchors(hits: DataFrame, merges: DataFrame, planned_seen: bool = False) -> DataFrame:
+    """J-05/J-08 + A-02: per (sheet, field) the last label cell (``hits``: sheet, row, col,
+    field) that sits on a row where a merged region starts, with that region's height.
 
     ``planned_seen`` adds the field of that name: the last planned block
     before the last % block (Q-08)."""
-    keys = {f: label_key(t) for f, t in labels.items()}
-    field = None
-    for f, k in keys.items():
-        c = F.col("text_key") == k
-        field = F.when(c, F.lit(f)) if field is None else field.when(c, F.lit(f))
-    hits = (corpus.cells.filter(F.col("text_key").isin(list(keys.values())))
-            .select(*SHEET, "row", "col", field.alias("field"))
-            .join(form.select(*SHEET), SHEET, "left_semi"))
-    heights = merged_height_by_row(corpus.merges)
-    on_merge = hits.join(heights, [*SHEET, "row"])
+    on_merge = hits.join(merged_height_by_row(merges), [*SHEET, "row"])
     if planned_seen:
         pct = (on_merge.filter(F.col("field") == "pct").groupBy(*SHEET)
                .agg(F.max(pos_key()).alias("pct_pos")))
@@ -76,30 +68,65 @@ def label_anchors(corpus: Corpus, form: DataFrame, labels: dict[str, str],
                        F.col("b.p").alias("pos"))
 
 
-def field_values(corpus: Corpus, anchors: DataFrame, dc: int = FORM_VALUE_OFFSET) -> DataFrame:
-    """Read every member row of each anchored block at column + dc, parsed per field."""
-    t = (anchors.select(*SHEET, "field", "height", F.col("col").alias("lcol"),
-                        F.col("row").alias("lrow"),
-                        F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("i"))
-         .select(*SHEET, "field", "height", "i", (F.col("lrow") + F.col("i")).alias("row"),
-                 (F.col("lcol") + dc).alias("col")))
-    v = read_targets(corpus.cells, t)
+def field_values(reads: DataFrame) -> DataFrame:
+    """Every member row of each anchored block, parsed per field (``reads``: one row per
+    target; part = field, n1 = height, n2 = member)."""
     txt = jtrim(formatted_text("text"))
-    fld = F.col("field")
+    fld = F.col("part")
     v_int = (F.when(fld == "total", arith_text_eval(txt))
              .when(fld == "outdated", parse_int_strict(txt))
              .when(fld.isin("planned", "planned_seen", "reviewed", "carried"), blank_to_zero_int("text")))
-    return v.select(*SHEET, "field", "height", "i", txt.alias("v_text"), v_int.alias("v_int"),
-                    string_read().alias("v_str"))
-
-
-def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
-                labels: dict[str, str] = FORM_LABELS, dc: int = FORM_VALUE_OFFSET,
-                compat: bool = False, include_parsed: bool = False,
-                document_id: int = 1, year: int = 2018) -> ProgramResult:
-    form = resolve_form_sheet(corpus.sheets, sheet_name)
-    anchors = label_anchors(corpus, form, labels, planned_seen=compat)
-    vals = field_values(corpus, anchors, dc)
+    return reads.select(*SHEET, fld.alias("field"), F.col("n1").alias("height"), F.col("n2").alias("i"),
+                        txt.alias("v_text"), v_int.alias("v_int"), string_read().alias("v_str"))
+
+
+class FormProgram(Program):
+    """T-02 over the form sheets of the corpus's workbooks."""
+
+    SCHEMA = ("workbook string, Document_Id int, Year int, Op_Procedures int, Last_Updated_OP_Year string, "
+              "Number_Of_outdatedOPs int, " + ", ".join(f"{c} int" for c in OUTPUT_COLUMNS[6:14]) + ", "
+              + ", ".join(f"{c} double" for c in OUTPUT_COLUMNS[14:]))
+    columns = ("ctype", "str", "text")
+
+    def __init__(self, corpus: Corpus, sheet_name: str = FORM_SHEET,
+                 labels: dict[str, str] = FORM_LABELS, dc: int = FORM_VALUE_OFFSET,
+                 compat: bool = False, include_parsed: bool = False,
+                 document_id: int = 1, year: int = 2018):
+        super().__init__(corpus)
+        self.keys = {f: label_key(t) for f, t in labels.items()}
+        self.form, self.dc, self.compat = resolve_form_sheet(corpus.sheets, sheet_name), dc, compat
+        self.include_parsed, self.document_id, self.year = include_parsed, document_id, year
+
+    def wanted(self) -> Column:
+        return F.col("text_key").isin(list(self.keys.values()))
+
+    def marks(self) -> dict[str, Column]:
+        name = reduce(lambda c, x: c.when(F.col("text_key") == x[1], F.lit(x[0])), self.keys.items(), F)
+        # the label cells of one row; few, and at most its columns
+        return {"hits": F.nullif(F.collect_list(F.when(name.isNotNull(), F.struct(
+            F.col("col"), name.alias("field")))), F.array().cast("array<struct<col:int,field:string>>"))}
+
+    def find_anchors(self, profile: DataFrame) -> DataFrame:
+        hits = (profile.join(self.form.select(*SHEET), SHEET, "left_semi")
+                .select(*SHEET, "row", F.inline("hits")))
+        return label_anchors(hits, self.corpus.merges, planned_seen=self.compat)
+
+    def targets(self, profile: DataFrame) -> DataFrame:
+        self.anchors = a = self.find_anchors(profile)
+        return (a.select(*SHEET, "field", "height", "col", F.col("row").alias("top"),
+                         F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("i"))
+                .select(F.col("field").alias("part"), F.col("height").alias("n1"), F.col("i").alias("n2"), *SHEET,
+                        (F.col("top") + F.col("i")).alias("row"), (F.col("col") + self.dc).alias("col")))
+
+    def finish(self, reads: DataFrame) -> ProgramResult:
+        return record_of_values(self, field_values(reads))
+
+
+def record_of_values(program: FormProgram, vals: DataFrame) -> ProgramResult:
+    """The record of each form sheet, folded from its fields' values, and the issues."""
+    corpus, form, anchors = program.corpus, program.form, program.anchors
+    compat, include_parsed = program.compat, program.include_parsed
+    document_id, year = program.document_id, program.year
     fld, i, last = F.col("field"), F.col("i"), F.col("i") == F.col("height") - 1
 
     def pick(name, col, cond=None):
@@ -170,3 +197,17 @@ def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
     ]
     return ProgramResult(table, union_issues(issues),
                          {"form": form, "anchors": anchors, "values": vals, "record": r})
+
+
+def form_anchors(corpus: Corpus) -> DataFrame:
+    """The label anchors of the corpus's form sheets: sheet, field, row, col, height, pos."""
+    p = FormProgram(corpus)
+    return p.find_anchors(own_profile(label_profile(corpus.cells, [p]), p))
+
+
+def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,
+                labels: dict[str, str] = FORM_LABELS, dc: int = FORM_VALUE_OFFSET,
+                compat: bool = False, include_parsed: bool = False,
+                document_id: int = 1, year: int = 2018) -> ProgramResult:
+    return run_program(FormProgram(corpus, sheet_name, labels, dc, compat, include_parsed,
+                                   document_id, year))

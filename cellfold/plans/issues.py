@@ -27,5 +27,11 @@ def issue_rows(df: DataFrame, operator: str, reason: Column | str,
                      F.lit(operator).alias("operator"), r.cast("string").alias("reason"))
 
 
+def each_reason(df: DataFrame, operator: str, reasons: list[Column]) -> DataFrame:
+    """One issue row for every reason of a row that is not NULL, in one pass over ``df``."""
+    found = df.select("workbook", "sheet_idx", F.explode(F.array(*reasons)).alias("reason"))
+    return issue_rows(found.filter(F.col("reason").isNotNull()), operator, F.col("reason"))
+
+
 def union_issues(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)

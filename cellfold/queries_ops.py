@@ -21,7 +21,7 @@ from cellfold.operators.regions import (list_drop_index, merged_height_by_row,
 from cellfold.plans import catalog
 from cellfold.plans.efficiency import efficiency_anchors, equipment_efficiency
 from cellfold.plans.form import OUTPUT_COLUMNS as FORM_COLUMNS
-from cellfold.plans.form import form_record, label_anchors, resolve_form_sheet
+from cellfold.plans.form import form_anchors, form_record
 from cellfold.plans.inspection import inspection_program
 from cellfold.queries import (ORACLE_SQL, _G1_MON_SQL, _G1_SHEET, _G1_WB, _G2_AGG_SQL,
                               _MONTHS_SQL, _YEAR0,
@@ -210,7 +210,7 @@ FROM customer CROSS JOIN {_FORM_LAYOUT_SQL} AS f
 """)
 def q_find_label_in_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = catalog.g2(spark, sf_dir)
-    a = label_anchors(corpus, resolve_form_sheet(corpus.sheets), FORM_LABELS)
+    a = form_anchors(corpus)
     return a.drop("pos")
 
 
@@ -224,7 +224,7 @@ FROM a CROSS JOIN {_values([('total',), ('outdated',), ('last_year',)], ['field'
 """)
 def q_offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = catalog.g2(spark, sf_dir)
-    a = label_anchors(corpus, resolve_form_sheet(corpus.sheets), FORM_LABELS)
+    a = form_anchors(corpus)
     a = a.filter(F.col("field").isin("total", "outdated", "last_year"))
     v = offset_lookup(corpus.cells, a, 0, 21, tags=["field"])
     return v.select("workbook", "field", formatted_text("text").alias("value_text"))
@@ -412,7 +412,7 @@ WHERE o.o < f.height
 """)
 def q_region_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = catalog.g2(spark, sf_dir)
-    a = label_anchors(corpus, resolve_form_sheet(corpus.sheets), FORM_LABELS)
+    a = form_anchors(corpus)
     regions = a.select(*SHEET, "field", F.col("row").alias("first_row"),
                        (F.col("row") + F.col("height") - 1).alias("last_row"))
     m = region_members(regions, keep=["field"])
@@ -829,7 +829,7 @@ FROM ({_g3_program_sql('slot // 12 + 1')})
 def q_job_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.plans.dispatch import run_jobs
     g1, g2, g3 = catalog.g1(spark, sf_dir), catalog.g2(spark, sf_dir), catalog.g3(spark, sf_dir)
-    corpus = g1.union(g2).union(g3)
+    corpus = catalog.everything(spark, sf_dir)
 
     def jobs_of(c, kind):
         return c.sheets.select("workbook").distinct().withColumn("kind", F.lit(kind))

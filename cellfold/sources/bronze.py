@@ -9,8 +9,9 @@ the cached number), ``str`` the string value (for a formula: a cached string).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,16 +52,53 @@ CELL_TYPES = ("numeric", "string", "formula", "boolean", "blank", "error")
 MAX_COLS = 16384
 
 
+SHEET_ID = ["sid", "sid2"]
+#: cells and numeric rows are stored in buckets of these columns, the key of every read of cells
+BUCKET = [*SHEET_ID, "row"]
+WORD = 64  # columns of one word of a row's bitmap
+
+
+def sheet_id() -> list[Column]:
+    """128-bit numeric sheet key in two columns, from (workbook, sheet_idx).
+
+    Reads of the large ``cells`` table are keyed on these instead of the
+    workbook string (a file path at scale). The two 64-bit hashes chain the
+    columns in opposite order, so sheets that share one differ in the other.
+    """
+    return [F.xxhash64("workbook", "sheet_idx").alias("sid"),
+            F.xxhash64("sheet_idx", "workbook").alias("sid2")]
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` with its sheet key: stored in bronze, else computed."""
+    return df if "sid" in df.columns else df.select("*", *sheet_id())
+
+
+def numeric_rows(cells: DataFrame) -> DataFrame:
+    """One row per sheet row with numeric cells: which columns they are in, as words of
+    64 bits (``bits``: word, mask; at most 256 words). Output: sid, sid2, row, bits."""
+    words = (keyed(cells).filter(F.col("ctype") == "numeric")
+             .groupBy(*BUCKET, F.expr(f"col div {WORD}").cast("int").alias("word"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, col % {WORD})")).alias("mask")))
+    return words.groupBy(*BUCKET).agg(F.collect_list(F.struct("word", "mask")).alias("bits"))
+
+
 @dataclass(frozen=True)
 class Corpus:
-    """The three bronze tables of one corpus of workbooks."""
+    """The bronze tables of one corpus of workbooks. ``rows``: the bitmaps of numeric
+    columns, stored beside the cells; taken from the cells where they are not stored."""
     sheets: DataFrame
     cells: DataFrame
     merges: DataFrame
+    rows: DataFrame | None = None
+
+    def numeric_rows(self) -> DataFrame:
+        return numeric_rows(self.cells) if self.rows is None else self.rows
 
     def union(self, other: "Corpus") -> "Corpus":
-        return Corpus(self.sheets.unionByName(other.sheets),
-                      self.cells.unionByName(other.cells),
+        """Both corpora; cells have the columns of ``CELLS_SCHEMA`` (a union has no buckets)."""
+        cells = [c.cells.select(*[f.name for f in CELLS_SCHEMA.fields]) for c in (self, other)]
+        return Corpus(self.sheets.unionByName(other.sheets), cells[0].unionByName(cells[1]),
                       self.merges.unionByName(other.merges))
 
 
@@ -122,36 +160,75 @@ def explode_cells(df: DataFrame, keys: list[str], cell_structs: list[str]) -> Da
     return df.selectExpr(*keys, f"inline({arr})")
 
 
+def _table(path: str, kind: str) -> str:
+    return f"cellfold_{kind}_{md5(path.rstrip('/').encode()).hexdigest()[:20]}"
+
+
+def _write_bucketed(df: DataFrame, path: str, kind: str, mode: str, buckets: int, order: list[str],
+                    partition: str | None = None) -> None:
+    """A table in buckets of ``BUCKET`` at ``path``, from rows that are dealt by it already."""
+    w = df.write.mode(mode).format("parquet")
+    if partition:
+        w = w.partitionBy(partition)
+    (w.bucketBy(buckets, *BUCKET).sortBy(*order).option("path", f"{path}/{kind}")
+     .saveAsTable(_table(path, kind)))
+
+
+def _bucketed(spark: SparkSession, path: str, kind: str, ddl: str, buckets: int,
+              partition: str | None = None) -> DataFrame:
+    """The bucketed table at ``path``, entered in the session's catalog if it is not there."""
+    name, key = _table(path, kind), ", ".join(BUCKET)
+    if not spark.catalog.tableExists(name):
+        part = f"PARTITIONED BY ({partition})" if partition else ""
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {part} CLUSTERED BY ({key}) "
+                  f"INTO {buckets} BUCKETS LOCATION {sql_lit(f'{path}/{kind}')}")
+        if partition:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
+_CELLS_DDL = ", ".join(["sid BIGINT, sid2 BIGINT", *[f"{f.name} {f.dataType.simpleString()}"
+                                                     for f in CELLS_SCHEMA.fields]])
+_ROWS_DDL = "sid BIGINT, sid2 BIGINT, row INT, bits ARRAY<STRUCT<word: INT, mask: BIGINT>>"
+
+
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
-    """Read a bronze corpus written by ``write_corpus`` (Parquet)."""
-    cells = (spark.read.schema(CELLS_SCHEMA).parquet(f"{path}/cells")  # may hold no file
-             .select(*[f.name for f in CELLS_SCHEMA.fields]))
-    return Corpus(spark.read.parquet(f"{path}/sheets"), cells,
-                  spark.read.parquet(f"{path}/merges"))
+    """Read a bronze corpus written by ``write_corpus``, with its buckets."""
+    n = spark.read.parquet(f"{path}/layout").first()["buckets"]
+    return Corpus(spark.read.parquet(f"{path}/sheets"),
+                  _bucketed(spark, path, "cells", _CELLS_DDL, n, "ctype"),
+                  spark.read.parquet(f"{path}/merges"), _bucketed(spark, path, "rows", _ROWS_DDL, n))
 
 
-def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite",
-                 cluster: bool = True) -> None:
+def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite", buckets: int | None = None) -> None:
     """Write bronze tables as Parquet.
 
-    ``cells`` is partitioned by ``ctype`` (at most six values): a step that
-    reads one kind of cell (the week counts read numeric cells only) prunes
-    whole partitions. With ``cluster`` the cells are also co-located by
-    (workbook, sheet_idx, row) and sorted by column within each file, so a
-    sheet's rows are contiguous and row-group statistics prune scans for a
-    few sheets."""
+    ``cells`` carries the numeric sheet key and is stored in buckets of (key,
+    row), sorted by column within, so every read of cells by sheet and row
+    joins a bucket where it lies. It is also partitioned by ``ctype`` (at most
+    six values): a step that reads one kind of cell prunes the others. ``rows``
+    holds the bitmaps of numeric columns, in the same buckets. One sheet's rows
+    spread over all buckets, so a very large sheet makes no hot bucket.
+
+    buckets: as many as shuffle partitions if not given, so that the other side
+    of a read is dealt to as many tasks as any shuffle; on a cluster, cells
+    divided by what a task should hold (about 200 MB).
+    """
+    spark = corpus.cells.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = keyed(corpus.cells).select(*SHEET_ID, *[f.name for f in CELLS_SCHEMA.fields])
     corpus.sheets.write.mode(mode).parquet(f"{path}/sheets")
-    cells = corpus.cells
-    if cluster:
-        cells = (cells.repartition("workbook", "sheet_idx", "row")
-                 .sortWithinPartitions("workbook", "sheet_idx", "row", "col"))
-    cells.write.mode(mode).partitionBy("ctype").parquet(f"{path}/cells")
     corpus.merges.write.mode(mode).parquet(f"{path}/merges")
+    cells = cells.repartition(n, *BUCKET)  # the one shuffle of cells, here and never again
+    _write_bucketed(cells, path, "cells", mode, n, [*BUCKET, "col"], "ctype")
+    stored = _bucketed(spark, path, "cells", _CELLS_DDL, n, "ctype")
+    _write_bucketed(numeric_rows(stored), path, "rows", mode, n, BUCKET)
+    spark.createDataFrame([(n,)], "buckets int").write.mode(mode).parquet(f"{path}/layout")
 
 
-def materialize(corpus: Corpus, path: str, cluster: bool = False) -> Corpus:
+def materialize(corpus: Corpus, path: str, buckets: int | None = None) -> Corpus:
     """Persist a derived corpus as bronze Parquet at ``path`` (shared storage)
     and return the tables read back: later plans start from a plain scan
     (pushdown, pruning, no recomputation) and survive executor loss."""
-    write_corpus(corpus, path, cluster=cluster)
+    write_corpus(corpus, path, buckets=buckets)
     return read_corpus(corpus.cells.sparkSession, path)

@@ -1,12 +1,19 @@
-"""Plan regression checks: filters reach the Parquet scan, scans read only
-the columns a step needs, and the cells side of the read joins is keyed by
-the numeric sheet id (no workbook string in that shuffle)."""
+"""Plan regression checks: filters reach the Parquet scan, scans read only the columns a
+step needs, and cells stay in the buckets they are stored in."""
 
 import re
 
+import pytest
+
+from cellfold.operators.locate import column_window, find_header_anchor, read_cells, read_targets
 from cellfold.plans import catalog
-from cellfold.plans.efficiency import equipment_efficiency
-from cellfold.plans.inspection import inspection_program
+from cellfold.plans.dispatch import run_jobs
+from cellfold.plans.efficiency import EfficiencyProgram, equipment_efficiency
+from cellfold.plans.form import FormProgram, form_record
+from cellfold.plans.inspection import InspectionProgram, inspection_program
+from cellfold.plans.reading import label_profile, own_profile
+from cellfold.session import stored
+from cellfold.sources.bronze import CELLS_SCHEMA, Corpus, numeric_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,7 +33,7 @@ def _cells_scans(plan: str):
     only bronze table with both row and col columns)."""
     out = []
     for line in plan.splitlines():
-        m = re.search(r"FileScan parquet \[([^\]]*)\]", line)
+        m = re.search(r"FileScan parquet \S*\[([^\]]*)\]", line)
         if m and re.search(r"\brow#", m.group(1)) and re.search(r"\bcol#", m.group(1)):
             pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", line)
             schema = re.search(r"ReadSchema: (struct<[^>]*>)", line)
@@ -34,23 +41,155 @@ def _cells_scans(plan: str):
     return out
 
 
+def _moved_scans(df, table: str = "cellfold_") -> list[str]:
+    """Scans of stored cells whose rows go into an exchange as they are: between the two
+    only filters, projections and sorts."""
+    found = []
+
+    def name(node):
+        return node.nodeName()
+
+    def children(node):
+        kids = [node.children().apply(i) for i in range(node.children().size())]
+        if name(node).startswith("AdaptiveSparkPlan"):
+            kids = [node.initialPlan()]
+        return kids
+
+    def below(node):
+        if "scan" in name(node).lower() and table in node.toString():
+            found.append(node.toString().splitlines()[0][:200])
+        elif re.match(r"Project|Filter|Sort$|ColumnarToRow|WholeStageCodegen|InputAdapter", name(node)):
+            for k in children(node):
+                below(k)
+
+    def walk(node):
+        if "Exchange" in name(node):
+            for k in children(node):
+                below(k)
+        for k in children(node):
+            walk(k)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n in names:
+        spark.conf.unset(n)
+
+
+def _programs(spark):
+    g1, g2, g3 = catalog.g1(spark, SF), catalog.g2(spark, SF), catalog.g3(spark, SF)
+    return [(g1, EfficiencyProgram(g1, catalog.g1_tabs(spark, SF))), (g2, FormProgram(g2)),
+            (g3, InspectionProgram(g3))]
+
+
+def test_cells_are_never_moved(spark, no_broadcast):
+    for corpus, program in _programs(spark):
+        profile = label_profile(corpus.cells, [program])
+        assert _cells_scans(_plan(profile)) and "Exchange" not in _plan(profile)
+        targets = program.targets(own_profile(profile, program))
+        reads = read_cells(corpus.cells, targets, list(program.columns))
+        plan = _plan(reads)
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert "BroadcastHashJoin" not in plan and not _moved_scans(reads)
+    g1, g3 = catalog.g1(spark, SF), catalog.g3(spark, SF)
+    a = find_header_anchor(g1.cells, "jan").withColumnRenamed("col", "start")
+    assert not _moved_scans(column_window(g1.cells, a))
+    assert not _moved_scans(read_targets(g1.cells, a.withColumnRenamed("start", "col")))
+    # the bitmaps lie in the same buckets, and are made of the cells where these lie
+    program = _programs(spark)[2][1]
+    pairs = program.find_pairs(own_profile(label_profile(g3.cells, [program]), program))
+    counts = program.week_counts(pairs)
+    assert not _moved_scans(counts) and "Bucketed: true" in _plan(counts)
+    assert "Exchange" not in _plan(numeric_rows(g3.cells))
+
+
+def test_the_check_sees_cells_that_move(spark, no_broadcast):
+    """Without buckets the same read shuffles the cells, and the check says so."""
+    corpus, program = _programs(spark)[0]
+    profile = own_profile(label_profile(corpus.cells, [program]), program)
+    moved = corpus.cells.repartition(3).select(*[f.name for f in CELLS_SCHEMA.fields])
+    reads = read_cells(moved, program.targets(profile), list(program.columns))
+    assert _moved_scans(reads)
+
+
+class _Counted:
+    """Counts the uses of a corpus's cells."""
+
+    def __init__(self, monkeypatch):
+        from cellfold.plans import reading
+        self.profiles = self.reads = 0
+        label, read = reading.label_profile, reading.read_cells
+
+        def one(cells, programs):
+            self.profiles += 1
+            return label(cells, programs)
+
+        def two(cells, targets, columns):
+            self.reads += 1
+            return read(cells, targets, columns)
+        monkeypatch.setattr(reading, "label_profile", one)
+        monkeypatch.setattr(reading, "read_cells", two)
+
+
+def test_dispatch_reads_the_cells_twice(spark, monkeypatch):
+    """All programs of a run share two scans of cells; what they return scans none."""
+    from pyspark.sql import functions as F
+    corpus, n = catalog.everything(spark, SF), _Counted(monkeypatch)
+    kind = F.element_at(F.array(*map(F.lit, ("emy", "adequacy", "aims"))), F.when(
+        F.col("workbook").startswith("customer"), 2).when(F.col("workbook").startswith("schedule"), 3).otherwise(1))
+    jobs = corpus.sheets.select("workbook").distinct().withColumn("kind", kind)
+    res = run_jobs(jobs, corpus, {"emy": catalog.g1_tabs(spark, SF), "emy2": ["x"]})
+    assert (n.profiles, n.reads) == (1, 1)
+    for df in (res.efficiency, res.form, res.inspection, res.issues):
+        assert df.count() >= 0 and not _cells_scans(_plan(df))
+
+
+def test_table_and_issues_come_from_one_read(spark, monkeypatch):
+    for run in (lambda: equipment_efficiency(catalog.g1(spark, SF), catalog.g1_tabs(spark, SF)),
+                lambda: form_record(catalog.g2(spark, SF)), lambda: inspection_program(catalog.g3(spark, SF))):
+        n = _Counted(monkeypatch)
+        res = run()
+        assert (n.profiles, n.reads) == (1, 1)
+        assert not _cells_scans(_plan(res.table)) and not _cells_scans(_plan(res.issues))
+        monkeypatch.undo()
+
+
 def test_flagship_pushdown_and_pruning(spark):
-    t = equipment_efficiency(catalog.g1(spark, SF), catalog.g1_tabs(spark, SF)).table
-    scans = _cells_scans(_plan(t))
-    assert scans, "no cells scan found"
+    corpus, program = _programs(spark)[0]
+    profile = label_profile(corpus.cells, [program])
+    reads = read_cells(corpus.cells, program.targets(own_profile(stored(profile), program)), list(program.columns))
+    (labels,), (values,) = _cells_scans(_plan(profile)), _cells_scans(_plan(reads))
     # the anchor profile pass pushes its label predicates into the scan
-    assert any("EqualTo(text_key,jan)" in p for p, _ in scans)
+    assert "EqualTo(text_key,jan)" in labels[0]
     # no step reads the formula column, and the value read does not read str
-    assert all("formula" not in s for _, s in scans)
-    assert any("num:double" in s and "str:" not in s for _, s in scans)
-
-
-def test_inspection_week_join_reads_numeric_cells_only(spark):
-    t = inspection_program(catalog.g3(spark, SF)).table
-    plan = _plan(t)
-    scans = _cells_scans(plan)
-    # the numeric-only read prunes the other ctype partitions of bronze cells
-    assert "PartitionFilters: [isnotnull(ctype" in plan and "(ctype#" in plan and "= numeric)" in plan
-    assert any("In(text_key" in p for p, _ in scans)
-    # the numeric sheet key is computed on the cells side of the joins
-    assert "xxhash64(workbook" in plan
+    assert "formula" not in labels[1] + values[1]
+    assert "num:double" in values[1] and "str:" not in values[1]
+
+
+def test_inspection_reads_texts_and_bitmaps(spark):
+    corpus, program = _programs(spark)[2]
+    profile = label_profile(corpus.cells, [program])
+    reads = read_cells(corpus.cells, program.targets(own_profile(stored(profile), program)), list(program.columns))
+    (labels,), (values,) = _cells_scans(_plan(profile)), _cells_scans(_plan(reads))
+    assert "In(text_key" in labels[0]
+    assert "num:" not in values[1] and "text:" in values[1]
+    # weeks are counted from one row per sheet row, not from cells
+    pairs = stored(program.find_pairs(own_profile(stored(profile), program)))
+    assert not _cells_scans(_plan(program.week_counts(pairs)))
+    counts = numeric_rows(corpus.cells)
+    plan = _plan(counts)
+    assert "PartitionFilters: [isnotnull(ctype" in plan and "= numeric)" in plan
+
+
+def test_rows_without_stored_bitmaps_are_the_same(spark):
+    g3 = catalog.g3(spark, SF)
+    other = Corpus(g3.sheets, g3.cells, g3.merges)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(inspection_program(g3).table) == key(inspection_program(other).table)

@@ -146,26 +146,6 @@ def q_sheet_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 _JTRIM_SQL = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 
 
-@register("cell_text_norm", f"""
-WITH s AS ({_G1_SHEETS_SQL}),
-r AS (SELECT * FROM {_values([(1, ' ' + METERED_LABEL), (2, UNPLANNED_LABEL),
-                              (3, UNPLANNED_LABEL.lower()), (4, 'Remarks')], ['row', 'txt'])}),
-x AS (
-  SELECT {_G1_WB} AS workbook, yr - {_YEAR0} AS sheet_idx, r.row,
-         CASE WHEN r.row = 1 THEN r.txt || chr(9) ELSE r.txt END AS text
-  FROM s CROSS JOIN r
-  UNION ALL SELECT DISTINCT {_G1_WB}, 0, 0, 'Summary' FROM s
-  UNION ALL SELECT DISTINCT {_G1_WB}, 0, 1, 'Supplier' FROM s)
-SELECT workbook, CAST(sheet_idx AS INTEGER) AS sheet_idx, CAST(row AS INTEGER) AS row,
-       CAST(0 AS INTEGER) AS col, text, {_JTRIM_SQL.format(x='text')} AS trimmed,
-       lower({_JTRIM_SQL.format(x='text')}) AS text_key
-FROM x
-""")
-def q_cell_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = catalog.g1(spark, sf_dir).cells.filter(F.col("col") == 0)
-    return cell_text_norm(cells)
-
-
 @register("find_label_first_col", f"""
 WITH s AS ({_G1_SHEETS_SQL})
 SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx, r.role,
@@ -214,22 +194,6 @@ def q_find_label_in_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.drop("pos")
 
 
-@register("offset_lookup", f"""
-WITH a AS ({_G2_AGG_SQL})
-SELECT 'customer-' || CAST(custkey AS VARCHAR) AS workbook, f.field,
-       CASE f.field WHEN 'total' THEN CAST(nf AS VARCHAR) || ' + ' || CAST(no_ AS VARCHAR)
-                    WHEN 'outdated' THEN CAST(np AS VARCHAR)
-                    ELSE coalesce(CAST(ly AS VARCHAR), '') END AS value_text
-FROM a CROSS JOIN {_values([('total',), ('outdated',), ('last_year',)], ['field'])} AS f
-""")
-def q_offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    corpus = catalog.g2(spark, sf_dir)
-    a = form_anchors(corpus)
-    a = a.filter(F.col("field").isin("total", "outdated", "last_year"))
-    v = offset_lookup(corpus.cells, a, 0, 21, tags=["field"])
-    return v.select("workbook", "field", formatted_text("text").alias("value_text"))
-
-
 @register("column_window_read", f"""
 WITH s AS ({_G1_SHEETS_SQL}), mon AS ({_G1_MON_SQL}),
 g AS (SELECT s.suppkey, s.yr, k.k FROM s CROSS JOIN range(0, 12) AS k(k))
@@ -348,6 +312,73 @@ def q_text_percent_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
                     text_percent(F.col("v_str")).alias("pct"))
 
 
+#: texts of several forms made of a row's key and balance (k, b)
+_FRACTION_FORMS = [("plain", "concat(CAST(k AS STRING), '.5')"), ("signed", "concat('-0.', CAST(k AS STRING))"),
+                   ("exponent", "concat(CAST(k % 7 AS STRING), 'e-1')"), ("point", "concat('.', CAST(k AS STRING))"),
+                   ("percent", "concat(CAST(k AS STRING), '%')"), ("blank", "concat(' ', CAST(k AS STRING))"),
+                   ("words", "concat('n/a ', CAST(k AS STRING))"), ("twice", "concat('1.', CAST(k AS STRING), '.2')"),
+                   ("empty", "''")]
+
+
+def _fraction_forms_sql() -> str:
+    number = {"plain": "k + 0.5", "signed": "0", "exponent": "(k % 7) / 10.0",
+              "point": "CAST('0.' || CAST(k AS VARCHAR) AS DECIMAL(38, 18))"}
+    parts = []
+    for form, expr in _FRACTION_FORMS:
+        text = expr.replace("AS STRING", "AS VARCHAR")
+        n = number.get(form)
+        value = (f"CAST(round(round(CAST({n} AS DECIMAL(38, 18)), 2) * 100, 2) AS DOUBLE)" if n
+                 else "CAST('NaN' AS DOUBLE)")
+        parts.append(f"SELECT k, '{form}' AS form, {text} AS text, {value} AS pct FROM (SELECT c_custkey AS k FROM customer)")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("text_percent_any_text", _fraction_forms_sql())
+def q_text_percent_any_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-13: texts that are decimals in every accepted form, and texts that are none."""
+    forms = F.expr("array(" + ", ".join(f"struct('{f}' AS form, {e} AS text)" for f, e in _FRACTION_FORMS) + ")")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    return rows.select("k", F.inline(forms)).withColumn("pct", text_percent(F.col("text")))
+
+
+@register("form_missing_labels", f"""
+WITH a AS ({_G2_AGG_SQL}), m AS (SELECT * FROM {_values([('default',), ('compat',)], ['mode'])})
+SELECT 'customer-' || CAST(custkey AS VARCHAR) AS workbook, mode,
+       CAST(CASE mode WHEN 'compat' THEN 2147483647 END AS INTEGER) AS Op_Procedures,
+       CASE mode WHEN 'compat' THEN '' END AS Last_Updated_OP_Year,
+       CAST(np AS INTEGER) AS Number_Of_outdatedOPs, CAST(p2 AS INTEGER) AS Planned_for_Review_Q2,
+       CAST(CASE mode WHEN 'compat' THEN 0 END AS INTEGER) AS Carried_Forward_Procedure_Q3,
+       CASE mode WHEN 'compat' THEN CAST('NaN' AS DOUBLE) END AS Perc_of_Procedure_Rvd_Vs__Plnd_Q4
+FROM a CROSS JOIN m
+""")
+def q_form_missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-15/Q-06: labels that the forms do not have: NULL by default, sentinels in compat mode."""
+    labels = FORM_LABELS | {f: f"no such label: {f}" for f in ("total", "last_year", "carried", "pct")}
+    modes = [form_record(catalog.g2(spark, sf_dir), labels=labels, compat=compat).table
+             .withColumn("mode", F.lit("compat" if compat else "default")) for compat in (False, True)]
+    return modes[0].unionByName(modes[1]).select(
+        "workbook", "mode", "Op_Procedures", "Last_Updated_OP_Year", "Number_Of_outdatedOPs", "Planned_for_Review_Q2",
+        "Carried_Forward_Procedure_Q3", "Perc_of_Procedure_Rvd_Vs__Plnd_Q4")
+
+
+@register("job_lines", """
+SELECT kind, path, trim(lower(kind)) AS dispatch_key FROM (
+  SELECT CASE o_orderkey % 4 WHEN 0 THEN 'EMY' WHEN 1 THEN 'adequacy' WHEN 2 THEN 'Aims' ELSE '' END AS kind,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE '/in/' || CAST(o_orderkey AS VARCHAR) || '.xlsx' END AS path
+  FROM orders)
+""")
+def q_job_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-18: job lines, the first two tokens between single spaces; a line may lack the
+    path, hold more than two tokens, or begin with a space (an empty kind)."""
+    from cellfold.plans.dispatch import normalise_kind, parse_job_args
+    k = F.col("o_orderkey")
+    kind = F.when(k % 4 == 0, "EMY").when(k % 4 == 1, "adequacy").when(k % 4 == 2, "Aims").otherwise("")
+    path = F.when(k % 5 != 0, F.concat(F.lit(" /in/"), k.cast("string"), F.lit(".xlsx"))).otherwise("")
+    more = F.when((k % 7 == 0) & (k % 5 != 0), F.lit(" more words")).otherwise("")
+    lines = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.concat(kind, path, more).alias("value"))
+    return parse_job_args(lines).withColumn("dispatch_key", normalise_kind("kind"))
+
+
 @register("review_pct_guarded", f"""
 WITH a AS ({_G2_AGG_SQL})
 SELECT 'customer-' || CAST(custkey AS VARCHAR) AS workbook,
@@ -440,6 +471,16 @@ def _g2_block_texts_sql() -> str:
         f"{i} AS i, {expr} AS v FROM a" for f, i, expr in rows)
 
 
+@register("offset_lookup", f"""
+WITH a AS ({_G2_AGG_SQL}), b AS ({_g2_block_texts_sql()})
+SELECT workbook, field, v AS value_text FROM b WHERE i = 0
+""")
+def q_offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = catalog.g2(spark, sf_dir)
+    v = offset_lookup(corpus.cells, form_anchors(corpus), 0, 21, tags=["field"])
+    return v.select("workbook", "field", formatted_text("text").alias("value_text"))
+
+
 @register("region_last_value", f"""
 WITH a AS ({_G2_AGG_SQL}), b AS ({_g2_block_texts_sql()})
 SELECT workbook, field, arg_max(v, i) AS v FROM b GROUP BY workbook, field
@@ -759,6 +800,14 @@ FROM c
 """
 
 
+@register("cell_text_norm", f"""
+SELECT workbook, sheet_idx, row, col, text, {_JTRIM_SQL.format(x='text')} AS trimmed, text_key
+FROM ({_g1_cells_sql()})
+""")
+def q_cell_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cell_text_norm(catalog.g1(spark, sf_dir).cells)
+
+
 @register("xlsx_ingest", _g1_cells_sql())
 def q_xlsx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.sources.xlsx import corpus_to_xlsx, decode, to_corpus

@@ -5,8 +5,8 @@ Structured Streaming query over a folder where workbooks arrive, one
 sub-folder per job kind (``<landing>/<kind>/<file>.xlsx``). Each micro-batch
 decodes only the new files (``binaryFile`` file source, progress kept in the
 stream checkpoint), runs the programs over them, and writes every output
-partitioned by ``epoch`` with dynamic partition overwrite, so a retried
-micro-batch replaces its own output instead of appending it twice.
+to a part of its own per ``epoch``, so a retried micro-batch replaces its own
+output instead of appending it twice, also where the retry has no rows.
 
 There is no event time, watermark or cross-batch state: every workbook is
 self-contained, so each micro-batch is an independent batch job.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cellfold.plans.dispatch import run_jobs
+from cellfold.sinks.runs import write_part
 from cellfold.sources.xlsx import decode, to_corpus
 
 
@@ -32,9 +33,8 @@ def _kind_of(path_col: str = "workbook") -> F.Column:
 
 
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
-    (df.withColumn("epoch", F.lit(epoch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("epoch").format("orc").save(path))
+    """The epoch's part of an output; a repeated epoch replaces it, also where it now has no rows."""
+    write_part(df, path, "epoch", str(epoch_id))
 
 
 def process_batch(batch: DataFrame, epoch_id: int, out_dir: str,

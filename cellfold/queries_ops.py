@@ -825,33 +825,49 @@ WITH s AS ({_G1_SHEETS_SQL}), mon AS ({_G1_MON_SQL}), w AS (SELECT DISTINCT supp
 v AS (SELECT s.suppkey, s.yr, k.k, coalesce(mon.m, 0) AS m, coalesce(mon.u, 0) AS u
       FROM s CROSS JOIN range(0, 12) AS k(k)
       LEFT JOIN mon ON mon.suppkey = s.suppkey AND mon.yr = s.yr AND mon.mo = k.k + 1),
+e AS (SELECT suppkey, yr, {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
+             max(m) FILTER (k = 0) AS m0, max(u) FILTER (k = 0) AS u0,
+             max(m) FILTER (k = 11) AS m11, max(u) FILTER (k = 11) AS u11 FROM v GROUP BY 1, 2),
+gone AS (SELECT workbook, sheet_idx, 'metered label not found' AS reason FROM e WHERE m11 = 0 AND u11 = 0
+  UNION ALL SELECT workbook, sheet_idx, 'unplanned label not found' FROM e WHERE m0 = 0 AND u0 = 0
+  UNION ALL SELECT workbook, sheet_idx, 'month header not found' FROM e WHERE m0 = 0 AND u0 <> 0),
+whole AS (SELECT v.*, e.workbook, e.sheet_idx FROM v JOIN e USING (suppkey, yr)
+          WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.workbook = e.workbook AND g.sheet_idx = e.sheet_idx)),
 t AS ({_TABS_SQL.format(ahead=2)}),
-a AS ({_G2_AGG_SQL})
-SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
-       'equipment_efficiency' AS operator,
+a AS (SELECT *, 'customer-' || CAST(custkey AS VARCHAR) AS workbook FROM ({_G2_AGG_SQL})),
+b AS (SELECT suppkey, yr, count(DISTINCT ptype || '|' || brand) AS n FROM ({_g3_slots_sql()}) GROUP BY 1, 2)
+SELECT workbook, sheet_idx, 'equipment_efficiency' AS operator,
        'metered month ' || CAST(k AS VARCHAR) || ': missing cell' AS reason
-FROM v WHERE m = 0
+FROM whole WHERE m = 0
 UNION ALL
-SELECT {_G1_WB}, CAST(yr - {_YEAR0} AS INTEGER), 'equipment_efficiency',
+SELECT workbook, sheet_idx, 'equipment_efficiency',
        'unplanned month ' || CAST(k AS VARCHAR) || ': not numeric: string'
-FROM v WHERE u = 0
+FROM whole WHERE u = 0
+UNION ALL SELECT workbook, sheet_idx, 'equipment_efficiency', reason FROM gone
 UNION ALL
 SELECT 'supplier-' || CAST(w.suppkey AS VARCHAR), CAST(NULL AS INTEGER), 'equipment_efficiency',
        'tab not found: ' || t.tab
 FROM w CROSS JOIN t
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.suppkey = w.suppkey
                   AND 'platform ' || CAST(s.yr AS VARCHAR) = lower(t.tab))
-UNION ALL
-SELECT 'customer-' || CAST(custkey AS VARCHAR), CAST(NULL AS INTEGER), 'form_record',
-       'form sheet not found'
-FROM a WHERE n_orders = 0
+UNION ALL SELECT workbook, CAST(NULL AS INTEGER), 'form_record', 'form sheet not found' FROM a
+  WHERE n_orders % 10 = 0
+UNION ALL SELECT workbook, 1, 'form_record', 'not an integer in outdated row 0: ' || chr(39) || 'none' || chr(39)
+  FROM a WHERE n_orders % 10 > 0 AND np = 0
+UNION ALL SELECT workbook, 1, 'form_record', 'quarter block shorter than 4 rows: carried' FROM a
+  WHERE n_orders % 10 > 0 AND c4 = 0
+UNION ALL SELECT workbook, 1, 'form_record', 'percent text not a decimal' FROM a
+  WHERE n_orders % 10 > 0 AND (p1 > 0 AND r1 = 0 OR p2 > 0 AND r2 = 0 OR p3 > 0 AND r3 = 0 OR p4 > 0 AND r4 = 0)
+UNION ALL SELECT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER), 'inspection_program',
+       CASE n % 5 WHEN 0 THEN 'location header not found' ELSE 'month header not found' END
+FROM b WHERE n % 5 < 2
 """)
 def q_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cellfold.sources.grids import g1_with_faults, g2_with_faults
+    from cellfold.sources.grids import g1_with_faults, g2_with_faults, g3_with_faults
     t01 = equipment_efficiency(g1_with_faults(catalog.g1(spark, sf_dir)),
                                catalog.g1_tabs(spark, sf_dir, ahead=2))
     t02 = form_record(g2_with_faults(catalog.g2(spark, sf_dir)))
-    t03 = inspection_program(catalog.g3(spark, sf_dir))
+    t03 = inspection_program(g3_with_faults(catalog.g3(spark, sf_dir)))
     return t01.issues.unionByName(t02.issues).unionByName(t03.issues)
 
 

@@ -12,9 +12,10 @@ supplier or customer).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellfold.functions.text import label_key
 from cellfold.session import cut_lineage
 from cellfold.sources.bronze import (Corpus, cell, explode_cells, finish_cells,
                                      number_text_sql, sql_lit, string_cell, with_sheet_key)
@@ -359,28 +360,70 @@ def g3_schedule_grid(spark: SparkSession, sf_dir: str, start: int = WEEK_START,
 # Planted faults (for the issues table)
 # ---------------------------------------------------------------------------
 
+def _without_labels(cells: DataFrame, bad: DataFrame, labels: list[str]) -> DataFrame:
+    """The cells without those of a sheet that read a label in ``bad`` (workbook, sheet_idx,
+    text_key). Only cells that read one of ``labels`` are compared."""
+    label = F.coalesce(F.col("text_key").isin([label_key(x) for x in labels]), F.lit(False))
+    found = cells.filter(label).join(bad, ["workbook", "sheet_idx", "text_key"], "left_anti")
+    return cells.filter(~label).unionByName(found)
+
+
+def _as_text(cells: DataFrame, which: Column, text: str) -> DataFrame:
+    """The cells, those of ``which`` holding a text instead."""
+    new = {"ctype": F.lit("string"), "str": F.lit(text), "text": F.lit(text), "text_key": F.lit(text),
+           "num": F.lit(None).cast("double")}
+    return cells.withColumns({c: F.when(which, v).otherwise(F.col(c)) for c, v in new.items()})
+
+
 def g1_with_faults(corpus: Corpus) -> Corpus:
-    """G1 with faults planted where the data is empty: a month with no
-    metered quantity has NO cell (missing cell), a month with no unplanned
-    quantity holds the text 'n/a' (not numeric)."""
-    c = corpus.cells
-    month_cell = (F.col("sheet_idx") > 0) & (F.col("ctype") == "numeric") & (F.col("num") == 0)
-    c = c.filter(~(month_cell & (F.col("row") == 1)))
-    na = month_cell & (F.col("row") == 2)
-    c = (c.withColumn("ctype", F.when(na, F.lit("string")).otherwise(F.col("ctype")))
-         .withColumn("str", F.when(na, F.lit("n/a")).otherwise(F.col("str")))
-         .withColumn("text", F.when(na, F.lit("n/a")).otherwise(F.col("text")))
-         .withColumn("text_key", F.when(na, F.lit("n/a")).otherwise(F.col("text_key")))
-         .withColumn("num", F.when(na, F.lit(None).cast("double")).otherwise(F.col("num"))))
-    return Corpus(corpus.sheets, c, corpus.merges)
+    """G1 with faults planted where the data is empty: a month with no metered
+    quantity has NO cell (missing cell), a month with no unplanned quantity
+    holds the text 'n/a' (not numeric). A sheet without any quantity in its
+    last month has no metered label; without any in its first month, no
+    unplanned label; with only unplanned quantity there, no month header."""
+    c, r = corpus.cells, F.col("row")
+    month_cell = (F.col("sheet_idx") > 0) & (F.col("ctype") == "numeric")
+    of = lambda pick, row: pick(F.when(r == row, F.col("num")), F.when(r == row, F.col("col")))
+    ends = (c.filter(month_cell & r.isin(1, 2)).groupBy("workbook", "sheet_idx")
+            .agg(of(F.min_by, 1).alias("m0"), of(F.min_by, 2).alias("u0"),
+                 of(F.max_by, 1).alias("m11"), of(F.max_by, 2).alias("u11")))
+    header = MONTH_ABBR[0]
+    gone = F.array(*[F.when(F.expr(cond), F.lit(label_key(label))) for cond, label in (
+        ("m11 = 0 and u11 = 0", METERED_LABEL), ("m0 = 0 and u0 = 0", UNPLANNED_LABEL),
+        ("m0 = 0 and u0 <> 0", header))])
+    bad = (ends.select("workbook", "sheet_idx", F.explode(gone).alias("text_key"))
+           .filter("text_key is not null"))
+    empty = month_cell & (F.col("num") == 0)
+    c = _as_text(c.filter(~(empty & (r == 1))), empty & (r == 2), "n/a")
+    return Corpus(corpus.sheets, _without_labels(c, bad, [METERED_LABEL, UNPLANNED_LABEL, header]), corpus.merges)
 
 
 def g2_with_faults(corpus: Corpus) -> Corpus:
-    """G2 where a customer without orders has no form sheet (only the cover):
-    the form has no 'Last updated OP (year)' value then."""
-    no_orders = (corpus.cells.filter((F.col("sheet_idx") == 1) & (F.col("row") == 3))
-                 .groupBy("workbook").agg(F.count(F.lit(1)).alias("n"))
-                 .filter(F.col("n") == 1).select("workbook"))
-    drop = no_orders.withColumn("sheet_idx", F.lit(1))
+    """G2 where a customer whose number of orders ends in 0 has no form sheet (only
+    the cover). A count of no outdated
+    procedures is written 'none' (not an integer), a review share of nothing
+    reviewed 'n/a' (not a decimal), and the carried block of a customer with
+    nothing carried in the last quarter is one row short."""
+    on_form = F.col("sheet_idx") == 1
+    drop = (corpus.cells.filter(on_form & (F.col("row") == 21) & F.col("text").rlike("^orders [0-9]*0$"))
+            .select("workbook", "sheet_idx").distinct())
     keep = lambda df: df.join(drop, ["workbook", "sheet_idx"], "left_anti")
-    return Corpus(keep(corpus.sheets), keep(corpus.cells), keep(corpus.merges))
+    short = (corpus.cells.filter(on_form & (F.col("row") == 15) & (F.col("text") == "0"))
+             .select("workbook", "sheet_idx", F.lit(12).alias("first_row"), F.lit(1).alias("short")).distinct())
+    merges = (corpus.merges.join(short, ["workbook", "sheet_idx", "first_row"], "left")
+              .withColumn("last_row", F.col("last_row") - F.coalesce("short", F.lit(0))).drop("short"))
+    none = on_form & (F.col("row") == 2) & (F.col("ctype") == "numeric") & (F.col("num") == 0)
+    c = _as_text(corpus.cells, none, "none")
+    c = _as_text(c, on_form & F.col("row").between(16, 19) & (F.col("text") == "0.0000"), "n/a")
+    return Corpus(keep(corpus.sheets), c, keep(merges))
+
+
+def g3_with_faults(corpus: Corpus) -> Corpus:
+    """G3 where a sheet with a multiple of five row pairs has no location header,
+    and one with one pair more has no month header."""
+    blocks = corpus.merges.filter("decl_idx >= 2").groupBy("workbook", "sheet_idx").agg(
+        F.sum(F.expr("(last_row - first_row + 1) div 2")).alias("n"))
+    gone = F.when(F.col("n") % 5 == 0, label_key(LOCATION_HEADER)).when(F.col("n") % 5 == 1, label_key(MONTH_HEADER))
+    bad = blocks.select("workbook", "sheet_idx", gone.alias("text_key")).filter("text_key is not null")
+    return Corpus(corpus.sheets, _without_labels(corpus.cells, bad, [LOCATION_HEADER, MONTH_HEADER]),
+                  corpus.merges, corpus.rows)

@@ -17,6 +17,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -213,13 +214,19 @@ def id_cuts(docs: DataFrame, id_col: str, text_col: str, range_chars: int) -> np
     return np.array(sorted(sampled_cuts(ids.select("k"), rows, ranges, each=200)), dtype=np.int64)
 
 
+@lru_cache(maxsize=1)
+def _kept_encoder(vocabulary: str) -> WordEncoder:
+    """The encoder of a Python worker, with the pieces that its earlier tasks learned."""
+    return WordEncoder(vocabulary)
+
+
 def encoded(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, cuts: np.ndarray,
             batch_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, range, ids): ids with the end id, compressed, for each document."""
     sent = docs.sparkSession.sparkContext.broadcast(cuts)  # one number per range
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, z = WordEncoder(vocabulary), zstandard.ZstdCompressor(level=1)
+        enc, z = _kept_encoder(vocabulary), zstandard.ZstdCompressor(level=1)
         ranges, task, seen = Ranges(sent.value), TaskContext.get().partitionId(), Counter()
         for b in batches:
             for i, j in text_slices(b["text"], batch_bytes):

@@ -83,8 +83,12 @@ def own_profile(profile: DataFrame, program: Program, i: int = 0) -> DataFrame:
             .join(keyed(program.corpus.sheets.select(*SHEET)), SHEET_ID).drop(*SHEET_ID))
 
 
-def run_programs(corpus: Corpus, programs: list[Program]) -> list[ProgramResult]:
-    """Every program's result, from two scans of the corpus's cells for all together."""
+def run_programs(corpus: Corpus, programs: list[Program], store_reads: bool = True) -> list[ProgramResult]:
+    """Every program's result, from two scans of the corpus's cells for all together.
+
+    ``store_reads=False`` leaves the second scan to whoever uses a result: for a
+    caller that takes issues alone which no read can cause, it is never made.
+    """
     if not programs:
         return []
     profile = stored(label_profile(corpus.cells, programs), "profile")
@@ -92,13 +96,14 @@ def run_programs(corpus: Corpus, programs: list[Program]) -> list[ProgramResult]
     for i, p in enumerate(programs):
         targets.append(p.targets(own_profile(profile, p, i)).select(F.lit(i).alias("tag"), *TARGET[1:]))
     columns = [c for c in Program.columns if any(c in p.columns for p in programs)]
-    reads = stored(read_cells(
-        corpus.cells, reduce(lambda a, b: a.unionByName(b), targets), columns), "reads")
+    reads = read_cells(corpus.cells, reduce(lambda a, b: a.unionByName(b), targets), columns)
+    if store_reads:
+        reads = stored(reads, "reads")
     return [p.finish(reads.filter(F.col("tag") == i).drop("tag")) for i, p in enumerate(programs)]
 
 
-def run_program(program: Program) -> ProgramResult:
-    return run_programs(program.corpus, [program])[0]
+def run_program(program: Program, store_reads: bool = True) -> ProgramResult:
+    return run_programs(program.corpus, [program], store_reads)[0]
 
 
 __all__ = ["Program", "ProgramResult", "label_profile", "run_program", "run_programs"]

@@ -867,7 +867,7 @@ def q_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     t01 = equipment_efficiency(g1_with_faults(catalog.g1(spark, sf_dir)),
                                catalog.g1_tabs(spark, sf_dir, ahead=2))
     t02 = form_record(g2_with_faults(catalog.g2(spark, sf_dir)))
-    t03 = inspection_program(g3_with_faults(catalog.g3(spark, sf_dir)))
+    t03 = inspection_program(g3_with_faults(catalog.g3(spark, sf_dir)), store_reads=False)
     return t01.issues.unionByName(t02.issues).unionByName(t03.issues)
 
 

@@ -193,3 +193,11 @@ def test_rows_without_stored_bitmaps_are_the_same(spark):
     other = Corpus(g3.sheets, g3.cells, g3.merges)
     key = lambda df: sorted(map(str, df.collect()))
     assert key(inspection_program(g3).table) == key(inspection_program(other).table)
+
+
+def test_inspection_issues_alone_need_no_read(spark):
+    g3 = catalog.g3(spark, SF)
+    res = inspection_program(g3, store_reads=False)
+    assert not _cells_scans(_plan(res.issues)) and _cells_scans(_plan(res.table))
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(res.table) == key(inspection_program(g3).table)

@@ -5,7 +5,8 @@ declared in order ``decl_idx``. Region-to-row membership (an interval join)
 is turned into an equi-join by generating the member rows of each region
 (``sequence(first_row, last_row)``): the work is proportional to the rows
 the region covers, and the join key ``(workbook, sheet_idx, row)`` spreads a
-large sheet over many tasks.
+large sheet over many tasks. Where the rows are given (``region_of_rows``), the
+region is cut into power-of-two segments instead (``cellfold.operators.intervals``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellfold.operators.intervals import containing
 from cellfold.operators.locate import SHEET
 
 
@@ -50,6 +52,34 @@ def region_members(regions: DataFrame, step: int = 1, keep: list[str] | None = N
                                                    F.lit(step))).alias("offset", "row")))
 
 
+def region_of_rows(rows: DataFrame, regions: DataFrame, row: str = "row") -> DataFrame:
+    """J-04 for given rows: each with every region of its sheet that spans it, and the
+    0-based ``offset`` in it. The regions' rows are not written out: a region of n rows
+    becomes about 2 log n segments."""
+    return (containing(rows, regions, SHEET, row)
+            .withColumn("offset", (F.col(row) - F.col("first_row")).cast("int")))
+
+
+def region_runs(regions: DataFrame, sheets: DataFrame) -> DataFrame:
+    """Q-03: from which sheet to which a region of an ordinal is the latest one of its
+    workbook (``first_sheet`` .. ``last_sheet``), one row per change.
+
+    ``regions``: workbook, sheet_idx, ordinal, first_row, last_row; ``sheets``: workbook,
+    sheet_idx. A region that the next sheet repeats goes on; one without a successor
+    holds to the workbook's last sheet.
+    """
+    place = F.struct("first_row", "last_row")
+    w = Window.partitionBy("workbook", "ordinal").orderBy("sheet_idx")
+    changes = (regions.select(*SHEET, "ordinal", "first_row", "last_row")
+               .withColumn("before", F.lag(place).over(w))
+               .filter(~F.col("before").eqNullSafe(place)).drop("before")
+               .withColumn("next", F.lead("sheet_idx").over(w)))
+    ends = sheets.groupBy("workbook").agg(F.max("sheet_idx").alias("end"))
+    return changes.join(ends, "workbook").select(
+        "workbook", "ordinal", "first_row", "last_row", F.col("sheet_idx").alias("first_sheet"),
+        F.coalesce(F.col("next") - 1, F.col("end")).alias("last_sheet"))
+
+
 def stride_pairs(regions: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """J-03: rows first, first+2, ... <= last are 'planned' rows; the row
     under each is its 'completed' row (it may fall past the region end).

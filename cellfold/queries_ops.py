@@ -17,7 +17,7 @@ from cellfold.operators.locate import (SHEET, cell_text_norm, column_window,
 from cellfold.operators.regions import (list_drop_index, merged_height_by_row,
                                         merged_regions_by_col, quarter_pivot,
                                         region_last_value, region_members,
-                                        region_ordered_list, stride_pairs)
+                                        region_of_rows, region_ordered_list, stride_pairs)
 from cellfold.plans import catalog
 from cellfold.plans.efficiency import efficiency_anchors, equipment_efficiency
 from cellfold.plans.form import OUTPUT_COLUMNS as FORM_COLUMNS
@@ -640,6 +640,27 @@ def q_stride_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("workbook", "sheet_idx", "decl_idx", "prow", "crow")
 
 
+@register("region_of_rows", f"""
+WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL})
+SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
+       CAST(prow AS INTEGER) AS row, descr AS text, CAST(decl_idx AS INTEGER) AS decl_idx,
+       CAST(prow - min(prow) OVER (PARTITION BY suppkey, yr, decl_idx) AS INTEGER) AS offset
+FROM pr
+UNION ALL
+SELECT DISTINCT 'schedule-' || CAST(suppkey AS VARCHAR), CAST(yr - {_YEAR0} AS INTEGER),
+       CAST(1 AS INTEGER), 'Description', CAST(1 AS INTEGER), CAST(0 AS INTEGER)
+FROM s
+""")
+def q_region_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in the column right of the location column, with its location block."""
+    corpus = catalog.g3(spark, sf_dir)
+    loc = find_label_any(corpus.cells, LOCATION_HEADER)
+    texts = (corpus.cells.filter(F.col("ctype") == "string").select(*SHEET, "row", "col", "text")
+             .join(loc.select(*SHEET, (F.col("col") + 1).alias("col")), [*SHEET, "col"]).drop("col"))
+    return (region_of_rows(texts, merged_regions_by_col(corpus.merges, loc))
+            .select(*SHEET, "row", "text", "decl_idx", "offset"))
+
+
 @register("merged_regions_by_col", f"""
 WITH s AS ({_g3_slots_sql()}), pr AS ({_G3_PAIRS_SQL})
 SELECT 'schedule-' || CAST(suppkey AS VARCHAR) AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,

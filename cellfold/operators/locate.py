@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cellfold.functions.metrics import numeric_read, numeric_read_error
 from cellfold.functions.text import jtrim, label_key
-from cellfold.sources.bronze import BUCKET, MAX_COLS, SHEET_ID, keyed
+from cellfold.sources.bronze import BUCKET, MAX_COLS, SHEET_ID, Corpus, keyed
 
 SHEET = ["workbook", "sheet_idx"]
 
@@ -138,6 +138,19 @@ def find_labels_any(cells: DataFrame, labels: dict[str, str]) -> DataFrame:
     return p.select(*out)
 
 
+def find_labels_indexed(corpus: Corpus, labels: dict[str, str]) -> DataFrame:
+    """P-03 for several labels from the label index: per sheet and role with a match, the
+    last cell reading the role's label. Cells of other texts are not read.
+    Output: workbook, sheet_idx, role, row, col."""
+    roles = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(label_key(lbl)).alias("of_key"))
+                      for r, lbl in labels.items()])
+    last = (corpus.labelled(sorted({label_key(lbl) for lbl in labels.values()}))
+            .groupBy(*SHEET_ID, "text_key").agg(F.max(pos_key()).alias("p"))
+            .select(*SHEET_ID, "text_key", "p", F.inline(roles)).filter(F.col("text_key") == F.col("of_key")))
+    return (last.join(keyed(corpus.sheets.select(*SHEET)), SHEET_ID)
+            .select(*SHEET, "role", pos_row(F.col("p")).alias("row"), pos_col(F.col("p")).alias("col")))
+
+
 # --------------------------------------------------------------------------
 # P-05 / F-03 header anchor on a row whose first column is blank
 # --------------------------------------------------------------------------

@@ -21,7 +21,7 @@ from cellfold.functions.text import (arith_text_eval, blank_to_zero_int, formatt
 from cellfold.operators.locate import SHEET, pos_col, pos_key, pos_row
 from cellfold.operators.regions import list_drop_index, merged_height_by_row
 from cellfold.plans.issues import issue_rows, union_issues
-from cellfold.plans.reading import Program, ProgramResult, label_profile, own_profile, run_program
+from cellfold.plans.reading import Program, ProgramResult, mark_profile, own_profile, run_program
 from cellfold.sources.bronze import Corpus
 from cellfold.sources.grids import FORM_LABELS, FORM_SHEET, FORM_VALUE_OFFSET
 
@@ -97,8 +97,11 @@ class FormProgram(Program):
         self.form, self.dc, self.compat = resolve_form_sheet(corpus.sheets, sheet_name), dc, compat
         self.include_parsed, self.document_id, self.year = include_parsed, document_id, year
 
+    def labels(self) -> list[str]:
+        return list(self.keys.values())
+
     def wanted(self) -> Column:
-        return F.col("text_key").isin(list(self.keys.values()))
+        return F.col("text_key").isin(self.labels())
 
     def marks(self) -> dict[str, Column]:
         name = reduce(lambda c, x: c.when(F.col("text_key") == x[1], F.lit(x[0])), self.keys.items(), F)
@@ -202,7 +205,7 @@ def record_of_values(program: FormProgram, vals: DataFrame) -> ProgramResult:
 def form_anchors(corpus: Corpus) -> DataFrame:
     """The label anchors of the corpus's form sheets: sheet, field, row, col, height, pos."""
     p = FormProgram(corpus)
-    return p.find_anchors(own_profile(label_profile(corpus.cells, [p]), p))
+    return p.find_anchors(own_profile(mark_profile(corpus, [p]), p))
 
 
 def form_record(corpus: Corpus, sheet_name: str = FORM_SHEET,

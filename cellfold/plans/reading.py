@@ -6,6 +6,8 @@ issues from the cells read there (``finish``). All programs of a run are
 served by two scans of ``cells``:
 
 1. one filtered pass over the cells gives a profile of label marks per sheet row;
+   a program that looks for cells of given texts only (``labels``) takes its marks
+   from the label index instead, whose pages of other texts are not read;
 2. the targets of all programs, one tagged table, are joined to the cells once.
 
 Cells are stored in buckets of (sheet key, row), and both steps group or join
@@ -53,6 +55,11 @@ class Program:
         """Which cells carry a mark."""
         raise NotImplementedError
 
+    def labels(self) -> list[str] | None:
+        """The text keys, if a cell carries a mark just by reading one of them, and the marks
+        need its row, column and text key alone; None if it takes more."""
+        return None
+
     def marks(self) -> dict[str, Column]:
         """Aggregates over the wanted cells of one sheet row; others may be among them."""
         raise NotImplementedError
@@ -66,12 +73,32 @@ class Program:
         raise NotImplementedError
 
 
-def label_profile(cells: DataFrame, programs: list[Program]) -> DataFrame:
+def _marked(rows: DataFrame, programs: dict[int, Program]) -> DataFrame:
+    aggs = [c.alias(f"p{i}_{name}") for i, p in programs.items() for name, c in p.marks().items()]
+    return rows.groupBy(*BUCKET).agg(*aggs)
+
+
+def label_profile(cells: DataFrame, programs: dict[int, Program]) -> DataFrame:
     """One pass over the cells for all programs: per sheet row with a wanted cell, every
     program's marks (columns prefixed by the program's number)."""
-    wanted = reduce(lambda a, b: a | b, [p.wanted() for p in programs])
-    aggs = [c.alias(f"p{i}_{name}") for i, p in enumerate(programs) for name, c in p.marks().items()]
-    return keyed(cells).filter(wanted).groupBy(*BUCKET).agg(*aggs)
+    wanted = reduce(lambda a, b: a | b, [p.wanted() for p in programs.values()])
+    return _marked(keyed(cells).filter(wanted), programs)
+
+
+def index_profile(corpus: Corpus, programs: dict[int, Program]) -> DataFrame:
+    """The same for programs that look for labels only, from the label index."""
+    keys = sorted({k for p in programs.values() for k in p.labels()})
+    return _marked(corpus.labelled(keys), programs)
+
+
+def mark_profile(corpus: Corpus, programs: list[Program]) -> DataFrame:
+    """The marks of all programs: from the label index where that is enough, else from
+    the cells. A sheet row may come twice, with the marks of other programs."""
+    indexed = {i: p for i, p in enumerate(programs) if corpus.labels is not None and p.labels() is not None}
+    scanned = {i: p for i, p in enumerate(programs) if i not in indexed}
+    parts = ([label_profile(corpus.cells, scanned)] if scanned else []) + (
+        [index_profile(corpus, indexed)] if indexed else [])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def own_profile(profile: DataFrame, program: Program, i: int = 0) -> DataFrame:
@@ -84,14 +111,15 @@ def own_profile(profile: DataFrame, program: Program, i: int = 0) -> DataFrame:
 
 
 def run_programs(corpus: Corpus, programs: list[Program], store_reads: bool = True) -> list[ProgramResult]:
-    """Every program's result, from two scans of the corpus's cells for all together.
+    """Every program's result, from two scans of the corpus's cells for all together
+    (one where the label index serves all of them).
 
     ``store_reads=False`` leaves the second scan to whoever uses a result: for a
     caller that takes issues alone which no read can cause, it is never made.
     """
     if not programs:
         return []
-    profile = stored(label_profile(corpus.cells, programs), "profile")
+    profile = stored(mark_profile(corpus, programs), "profile")
     targets = []
     for i, p in enumerate(programs):
         targets.append(p.targets(own_profile(profile, p, i)).select(F.lit(i).alias("tag"), *TARGET[1:]))
@@ -106,4 +134,5 @@ def run_program(program: Program, store_reads: bool = True) -> ProgramResult:
     return run_programs(program.corpus, [program], store_reads)[0]
 
 
-__all__ = ["Program", "ProgramResult", "label_profile", "run_program", "run_programs"]
+__all__ = ["Program", "ProgramResult", "index_profile", "label_profile", "mark_profile",
+           "run_program", "run_programs"]

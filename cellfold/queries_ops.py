@@ -13,7 +13,8 @@ from cellfold.functions.metrics import clamp_nonneg, round_half_up, text_percent
 from cellfold.functions.text import arith_text_eval, blank_to_zero_int, formatted_text
 from cellfold.operators.locate import (SHEET, cell_text_norm, column_window,
                                        find_header_anchor, find_label_any,
-                                       find_label_first_col, offset_lookup, sheet_resolve)
+                                       find_label_first_col, find_labels_indexed, offset_lookup,
+                                       pos_key, sheet_resolve)
 from cellfold.operators.regions import (list_drop_index, merged_height_by_row,
                                         merged_regions_by_col, quarter_pivot,
                                         region_last_value, region_members,
@@ -166,6 +167,18 @@ def q_find_label_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_label_any(catalog.g3(spark, sf_dir).cells, LOCATION_HEADER)
 
 
+@register("find_labels_indexed", f"""
+WITH s AS ({_G1_SHEETS_SQL})
+SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx, r.role,
+       CAST(r.row AS INTEGER) AS row, CAST(CASE WHEN r.role = 'jan' THEN 2 + suppkey % 3 ELSE 0 END AS INTEGER) AS col
+FROM s CROSS JOIN {_values([('jan', 4), ('metered', 1), ('unplanned', 3)], ['role', 'row'])} AS r
+""")
+def q_find_labels_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last cell of three labels in every sheet: without guards these are the month name
+    on the remarks row and the unplanned percentages."""
+    return find_labels_indexed(catalog.g1(spark, sf_dir), {**_ROLES, "jan": "jan"})
+
+
 @register("find_header_anchor", f"""
 WITH s AS ({_G1_SHEETS_SQL})
 SELECT {_G1_WB} AS workbook, CAST(yr - {_YEAR0} AS INTEGER) AS sheet_idx,
@@ -829,6 +842,18 @@ def q_cell_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_text_norm(catalog.g1(spark, sf_dir).cells)
 
 
+@register("label_index", f"""
+SELECT text_key, count(*) AS n_cells, count(DISTINCT workbook || '#' || sheet_idx) AS n_sheets,
+       max(CAST(row AS BIGINT) * 16384 + col) AS last_pos
+FROM ({_g1_cells_sql()}) WHERE text_key <> '' AND ctype <> 'numeric' GROUP BY text_key
+""")
+def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of the label index of G1: its cells, its sheets, its last position."""
+    return catalog.g1(spark, sf_dir).labels.groupBy("text_key").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.countDistinct("sid", "sid2").alias("n_sheets"),
+        F.max(pos_key()).alias("last_pos"))
+
+
 @register("xlsx_ingest", _g1_cells_sql())
 def q_xlsx_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.sources.xlsx import corpus_to_xlsx, decode, to_corpus

@@ -8,6 +8,7 @@ the cached number), ``str`` the string value (for a formula: a cached string).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from hashlib import md5
 
@@ -83,18 +84,43 @@ def numeric_rows(cells: DataFrame) -> DataFrame:
     return words.groupBy(*BUCKET).agg(F.collect_list(F.struct("word", "mask")).alias("bits"))
 
 
+#: keys that the label index leaves out of numeric cells: plain numbers, as a sheet is full of
+PLAIN_NUMBER = r"^[-+]?[0-9.]+(e[-+]?[0-9]+)?$"
+
+
+def label_index(cells: DataFrame) -> DataFrame:
+    """Where each text is found: key (hash of ``text_key``), sid, sid2, row, col, text_key.
+    Blank cells and numeric cells that show a plain number are left out."""
+    plain = (F.col("ctype") == "numeric") & F.col("text_key").rlike(PLAIN_NUMBER)
+    return (keyed(cells).filter((F.col("text_key") != "") & ~plain)
+            .select(F.xxhash64("text_key").alias("key"), *BUCKET, "col", "text_key"))
+
+
 @dataclass(frozen=True)
 class Corpus:
     """The bronze tables of one corpus of workbooks. ``rows``: the bitmaps of numeric
-    columns, stored beside the cells; taken from the cells where they are not stored."""
+    columns, stored beside the cells; taken from the cells where they are not stored.
+    ``labels``: the label index, or None where it is not stored."""
     sheets: DataFrame
     cells: DataFrame
     merges: DataFrame
     rows: DataFrame | None = None
+    labels: DataFrame | None = None
 
     def numeric_rows(self) -> DataFrame:
         return numeric_rows(self.cells) if self.rows is None else self.rows
 
+    def labelled(self, keys: list[str]) -> DataFrame:
+        """The cells whose ``text_key`` is one of ``keys`` (sid, sid2, row, col, text_key),
+        looked up in the label index. A key that the index leaves out (blank, a plain
+        number), or a corpus without one, takes a scan of the cells."""
+        is_key = F.col("text_key").isin(keys)
+        columns = [*BUCKET, "col", "text_key"]
+        if self.labels is None or any(not k or re.search(PLAIN_NUMBER, k) for k in keys):
+            return keyed(self.cells).filter(is_key).select(*columns)
+        # the hashes are constants, so they reach the row groups' and pages' bounds
+        return self.labels.filter(F.col("key").isin([F.xxhash64(F.lit(k)) for k in keys]) & is_key).select(*columns)
+
     def union(self, other: "Corpus") -> "Corpus":
         """Both corpora; cells have the columns of ``CELLS_SCHEMA`` (a union has no buckets)."""
         cells = [c.cells.select(*[f.name for f in CELLS_SCHEMA.fields]) for c in (self, other)]
@@ -189,18 +215,22 @@ def _bucketed(spark: SparkSession, path: str, kind: str, ddl: str, buckets: int,
 
 _CELLS_DDL = ", ".join(["sid BIGINT, sid2 BIGINT", *[f"{f.name} {f.dataType.simpleString()}"
                                                      for f in CELLS_SCHEMA.fields]])
+_LABELS_DDL = "key BIGINT, sid BIGINT, sid2 BIGINT, row INT, col INT, text_key STRING"
 _ROWS_DDL = "sid BIGINT, sid2 BIGINT, row INT, bits ARRAY<STRUCT<word: INT, mask: BIGINT>>"
 
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
     """Read a bronze corpus written by ``write_corpus``, with its buckets."""
-    n = spark.read.parquet(f"{path}/layout").first()["buckets"]
+    layout = spark.read.parquet(f"{path}/layout").first().asDict()
+    n = layout["buckets"]
+    labels = spark.read.schema(_LABELS_DDL).parquet(f"{path}/labels") if layout.get("labels") else None
     return Corpus(spark.read.parquet(f"{path}/sheets"),
                   _bucketed(spark, path, "cells", _CELLS_DDL, n, "ctype"),
-                  spark.read.parquet(f"{path}/merges"), _bucketed(spark, path, "rows", _ROWS_DDL, n))
+                  spark.read.parquet(f"{path}/merges"), _bucketed(spark, path, "rows", _ROWS_DDL, n), labels)
 
 
-def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite", buckets: int | None = None) -> None:
+def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite", buckets: int | None = None,
+                 labels: bool = True) -> None:
     """Write bronze tables as Parquet.
 
     ``cells`` carries the numeric sheet key and is stored in buckets of (key,
@@ -210,6 +240,11 @@ def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite", buckets: in
     holds the bitmaps of numeric columns, in the same buckets. One sheet's rows
     spread over all buckets, so a very large sheet makes no hot bucket.
 
+    ``labels`` is the inverted table of texts, in order of (hash of the text, sheet
+    key, row) over all its files: a label is a range of rows, which a reader finds by
+    the bounds of row groups and pages, and a label that every sheet has spreads over
+    several files. ``labels=False`` leaves it out (label searches then scan cells).
+
     buckets: as many as shuffle partitions if not given, so that the other side
     of a read is dealt to as many tasks as any shuffle; on a cluster, cells
     divided by what a task should hold (about 200 MB).
@@ -223,7 +258,10 @@ def write_corpus(corpus: Corpus, path: str, mode: str = "overwrite", buckets: in
     _write_bucketed(cells, path, "cells", mode, n, [*BUCKET, "col"], "ctype")
     stored = _bucketed(spark, path, "cells", _CELLS_DDL, n, "ctype")
     _write_bucketed(numeric_rows(stored), path, "rows", mode, n, BUCKET)
-    spark.createDataFrame([(n,)], "buckets int").write.mode(mode).parquet(f"{path}/layout")
+    if labels:
+        (label_index(stored).repartitionByRange("key", *BUCKET).sortWithinPartitions("key", *BUCKET)
+         .write.mode(mode).parquet(f"{path}/labels"))
+    spark.createDataFrame([(n, labels)], "buckets int, labels boolean").write.mode(mode).parquet(f"{path}/layout")
 
 
 def materialize(corpus: Corpus, path: str, buckets: int | None = None) -> Corpus:

@@ -2,18 +2,22 @@
 step needs, and cells stay in the buckets they are stored in."""
 
 import re
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
-from cellfold.operators.locate import column_window, find_header_anchor, read_cells, read_targets
+from cellfold.operators.locate import (column_window, find_header_anchor, find_labels_indexed,
+                                       read_cells, read_targets)
 from cellfold.plans import catalog
 from cellfold.plans.dispatch import run_jobs
 from cellfold.plans.efficiency import EfficiencyProgram, equipment_efficiency
 from cellfold.plans.form import FormProgram, form_record
 from cellfold.plans.inspection import InspectionProgram, inspection_program
-from cellfold.plans.reading import label_profile, own_profile
+from cellfold.plans.reading import index_profile, label_profile, mark_profile, own_profile
 from cellfold.session import stored
-from cellfold.sources.bronze import CELLS_SCHEMA, Corpus, numeric_rows
+from cellfold.sources.bronze import (CELLS_SCHEMA, MERGES_SCHEMA, Corpus, finish_cells, materialize,
+                                     numeric_rows, read_corpus, with_sheet_key, write_corpus)
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,7 +95,7 @@ def _programs(spark):
 
 def test_cells_are_never_moved(spark, no_broadcast):
     for corpus, program in _programs(spark):
-        profile = label_profile(corpus.cells, [program])
+        profile = label_profile(corpus.cells, {0: program})
         assert _cells_scans(_plan(profile)) and "Exchange" not in _plan(profile)
         targets = program.targets(own_profile(profile, program))
         reads = read_cells(corpus.cells, targets, list(program.columns))
@@ -104,7 +108,7 @@ def test_cells_are_never_moved(spark, no_broadcast):
     assert not _moved_scans(read_targets(g1.cells, a.withColumnRenamed("start", "col")))
     # the bitmaps lie in the same buckets, and are made of the cells where these lie
     program = _programs(spark)[2][1]
-    pairs = program.find_pairs(own_profile(label_profile(g3.cells, [program]), program))
+    pairs = program.find_pairs(own_profile(mark_profile(g3, [program]), program))
     counts = program.week_counts(pairs)
     assert not _moved_scans(counts) and "Bucketed: true" in _plan(counts)
     assert "Exchange" not in _plan(numeric_rows(g3.cells))
@@ -113,7 +117,7 @@ def test_cells_are_never_moved(spark, no_broadcast):
 def test_the_check_sees_cells_that_move(spark, no_broadcast):
     """Without buckets the same read shuffles the cells, and the check says so."""
     corpus, program = _programs(spark)[0]
-    profile = own_profile(label_profile(corpus.cells, [program]), program)
+    profile = own_profile(label_profile(corpus.cells, {0: program}), program)
     moved = corpus.cells.repartition(3).select(*[f.name for f in CELLS_SCHEMA.fields])
     reads = read_cells(moved, program.targets(profile), list(program.columns))
     assert _moved_scans(reads)
@@ -140,7 +144,6 @@ class _Counted:
 
 def test_dispatch_reads_the_cells_twice(spark, monkeypatch):
     """All programs of a run share two scans of cells; what they return scans none."""
-    from pyspark.sql import functions as F
     corpus, n = catalog.everything(spark, SF), _Counted(monkeypatch)
     kind = F.element_at(F.array(*map(F.lit, ("emy", "adequacy", "aims"))), F.when(
         F.col("workbook").startswith("customer"), 2).when(F.col("workbook").startswith("schedule"), 3).otherwise(1))
@@ -152,18 +155,99 @@ def test_dispatch_reads_the_cells_twice(spark, monkeypatch):
 
 
 def test_table_and_issues_come_from_one_read(spark, monkeypatch):
-    for run in (lambda: equipment_efficiency(catalog.g1(spark, SF), catalog.g1_tabs(spark, SF)),
-                lambda: form_record(catalog.g2(spark, SF)), lambda: inspection_program(catalog.g3(spark, SF))):
+    """T-02 and T-03 find their labels in the index: they scan the cells once, not twice."""
+    for profiles, run in ((1, lambda: equipment_efficiency(catalog.g1(spark, SF), catalog.g1_tabs(spark, SF))),
+                          (0, lambda: form_record(catalog.g2(spark, SF))),
+                          (0, lambda: inspection_program(catalog.g3(spark, SF)))):
         n = _Counted(monkeypatch)
         res = run()
-        assert (n.profiles, n.reads) == (1, 1)
+        assert (n.profiles, n.reads) == (profiles, 1)
         assert not _cells_scans(_plan(res.table)) and not _cells_scans(_plan(res.issues))
         monkeypatch.undo()
 
 
+def test_label_index_gives_the_marks_of_a_scan(spark):
+    key = lambda df: sorted(str(sorted(r.asDict().items())) for r in df.collect())
+    for corpus, program in _programs(spark)[1:]:
+        assert key(index_profile(corpus, {0: program})) == key(label_profile(corpus.cells, {0: program}))
+        assert "key:bigint" in _plan(index_profile(corpus, {0: program}))
+
+
+def test_without_label_index_programs_scan(spark):
+    g2, g3 = catalog.g2(spark, SF), catalog.g3(spark, SF)
+    key = lambda df: sorted(map(str, df.collect()))
+    for run, corpus in ((form_record, g2), (inspection_program, g3)):
+        assert key(run(corpus).table) == key(run(replace(corpus, labels=None)).table)
+
+
+def _rows_read(df) -> int:
+    """Rows that the scans of an executed plan put out."""
+    total = 0
+
+    def walk(node):
+        nonlocal total
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if "Scan parquet" in node.nodeName():
+            total += node.metrics().apply("numOutputRows").value()
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return total
+
+
+def test_label_search_reads_its_share_of_the_index(spark, tmp_path):
+    """Of an index of many pages, the pages of one text are read, however many others there
+    are; a text that every sheet has is spread over files."""
+    n = 400_000
+    rows = spark.range(n).selectExpr(
+        "concat('w', id % 50) AS workbook", "0 AS sheet_idx", "cast(id div 50 AS int) AS row", "0 AS col",
+        "'string' AS ctype", "cast(null AS double) AS num", "'' AS str", "cast(null AS string) AS formula",
+        "CASE WHEN id % 40 = 0 THEN 'Common' WHEN id < 50 THEN ' Rare ' ELSE concat('text ', id) END AS text")
+    sheets = rows.select("workbook", "sheet_idx").distinct().withColumn("sheet", F.lit("s"))
+    merges = spark.createDataFrame([], MERGES_SCHEMA)
+    corpus = materialize(Corpus(with_sheet_key(sheets), finish_cells(rows), merges), str(tmp_path / "b"))
+    assert corpus.labels.count() == n
+    found = {k: corpus.labelled([k]) for k in ("rare", "common", "absent text")}
+    assert {k: df.count() for k, df in found.items()} == {"rare": 48, "common": n // 40, "absent text": 0}
+    share = {k: _rows_read(df) / n for k, df in found.items()}
+    assert share["rare"] < 0.12 and share["absent text"] < 0.12 and share["common"] < 0.2, share
+    print("share of rows read", share)
+    # the cells hold every text in every bucket, so a search there reads nearly all of them
+    assert _rows_read(corpus.cells.filter(F.col("text_key") == "rare")) > 0.8 * n
+
+
+def test_keys_that_the_index_leaves_out_are_found_by_a_scan(spark, tmp_path):
+    cells = [("w", 0, 0, 0, "numeric", 12.0, "12"), ("w", 0, 1, 0, "string", None, " 12"), ("w", 0, 2, 1, "numeric", 1.5, "1.5"),
+             ("w", 0, 3, 0, "numeric", 43101.0, "January 2018"), ("w", 0, 4, 0, "string", None, "January 2018"),
+             ("w", 0, 5, 0, "blank", None, None), ("w", 1, 5, 0, "formula", None, "A1+2")]
+    rows = spark.createDataFrame(cells, "workbook string, sheet_idx int, row int, col int, ctype string, num double, text string")
+    rows = rows.withColumn("str", F.lit(None).cast("string")).withColumn("formula", F.lit(None).cast("string"))
+    sheets = spark.createDataFrame([("w", 0, "a"), ("w", 1, "b")], "workbook string, sheet_idx int, sheet string")
+    corpus = materialize(Corpus(with_sheet_key(sheets), finish_cells(rows), spark.createDataFrame([], MERGES_SCHEMA)),
+                         str(tmp_path / "b"))
+    at = lambda *keys: sorted(r["row"] for r in corpus.labelled(list(keys)).collect())
+    assert (at("12"), at("1.5"), at("january 2018"), at("a1+2"), at("")) == ([0, 1], [2], [3, 4], [5], [5])
+    assert at("12", "january 2018") == [0, 1, 3, 4]
+    found = find_labels_indexed(corpus, {"m": "January 2018", "n": "12", "x": "none"}).collect()
+    assert sorted(map(tuple, found)) == [("w", 0, "m", 4, 0), ("w", 0, "n", 1, 0)]
+    plain = materialize(corpus.union(Corpus(corpus.sheets.limit(0), corpus.cells.limit(0), corpus.merges)),
+                        str(tmp_path / "c"))
+    assert plain.labels.count() == corpus.labels.count() == 4  # ' 12' as a string is in
+
+
+def test_a_corpus_written_without_the_index(spark, tmp_path):
+    g2 = catalog.g2(spark, SF)
+    write_corpus(g2, str(tmp_path / "b"), labels=False)
+    assert read_corpus(spark, str(tmp_path / "b")).labels is None
+
+
 def test_flagship_pushdown_and_pruning(spark):
     corpus, program = _programs(spark)[0]
-    profile = label_profile(corpus.cells, [program])
+    profile = label_profile(corpus.cells, {0: program})
     reads = read_cells(corpus.cells, program.targets(own_profile(stored(profile), program)), list(program.columns))
     (labels,), (values,) = _cells_scans(_plan(profile)), _cells_scans(_plan(reads))
     # the anchor profile pass pushes its label predicates into the scan
@@ -175,7 +259,7 @@ def test_flagship_pushdown_and_pruning(spark):
 
 def test_inspection_reads_texts_and_bitmaps(spark):
     corpus, program = _programs(spark)[2]
-    profile = label_profile(corpus.cells, [program])
+    profile = label_profile(corpus.cells, {0: program})
     reads = read_cells(corpus.cells, program.targets(own_profile(stored(profile), program)), list(program.columns))
     (labels,), (values,) = _cells_scans(_plan(profile)), _cells_scans(_plan(reads))
     assert "In(text_key" in labels[0]

@@ -845,7 +845,7 @@ def q_cell_text_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("label_index", f"""
 SELECT text_key, count(*) AS n_cells, count(DISTINCT workbook || '#' || sheet_idx) AS n_sheets,
        max(CAST(row AS BIGINT) * 16384 + col) AS last_pos
-FROM ({_g1_cells_sql()}) WHERE text_key <> '' AND ctype <> 'numeric' GROUP BY text_key
+FROM ({_g1_cells_sql()}) WHERE regexp_matches(text_key, '[a-z]') GROUP BY text_key
 """)
 def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of the label index of G1: its cells, its sheets, its last position."""

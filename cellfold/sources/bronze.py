@@ -84,15 +84,15 @@ def numeric_rows(cells: DataFrame) -> DataFrame:
     return words.groupBy(*BUCKET).agg(F.collect_list(F.struct("word", "mask")).alias("bits"))
 
 
-#: keys that the label index leaves out of numeric cells: plain numbers, as a sheet is full of
-PLAIN_NUMBER = r"^[-+]?[0-9.]+(e[-+]?[0-9]+)?$"
+#: what a text key must hold to be in the label index: a letter, or any character outside
+#: ASCII. Numbers, dates, dashes and blanks, which fill most of a sheet, are left out.
+LABEL_SIGN = r"[a-z]|[^\x00-\x7F]"
 
 
 def label_index(cells: DataFrame) -> DataFrame:
     """Where each text is found: key (hash of ``text_key``), sid, sid2, row, col, text_key.
-    Blank cells and numeric cells that show a plain number are left out."""
-    plain = (F.col("ctype") == "numeric") & F.col("text_key").rlike(PLAIN_NUMBER)
-    return (keyed(cells).filter((F.col("text_key") != "") & ~plain)
+    Cells of any type whose text holds a ``LABEL_SIGN``."""
+    return (keyed(cells).filter(F.col("text_key").rlike(LABEL_SIGN))
             .select(F.xxhash64("text_key").alias("key"), *BUCKET, "col", "text_key"))
 
 
@@ -112,11 +112,11 @@ class Corpus:
 
     def labelled(self, keys: list[str]) -> DataFrame:
         """The cells whose ``text_key`` is one of ``keys`` (sid, sid2, row, col, text_key),
-        looked up in the label index. A key that the index leaves out (blank, a plain
-        number), or a corpus without one, takes a scan of the cells."""
+        looked up in the label index. A key that the index leaves out (no ``LABEL_SIGN``:
+        blank, a number, '%'), or a corpus without one, takes a scan of the cells."""
         is_key = F.col("text_key").isin(keys)
         columns = [*BUCKET, "col", "text_key"]
-        if self.labels is None or any(not k or re.search(PLAIN_NUMBER, k) for k in keys):
+        if self.labels is None or not all(re.search(LABEL_SIGN, k) for k in keys):
             return keyed(self.cells).filter(is_key).select(*columns)
         # the hashes are constants, so they reach the row groups' and pages' bounds
         return self.labels.filter(F.col("key").isin([F.xxhash64(F.lit(k)) for k in keys]) & is_key).select(*columns)

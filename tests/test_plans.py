@@ -223,7 +223,8 @@ def test_label_search_reads_its_share_of_the_index(spark, tmp_path):
 def test_keys_that_the_index_leaves_out_are_found_by_a_scan(spark, tmp_path):
     cells = [("w", 0, 0, 0, "numeric", 12.0, "12"), ("w", 0, 1, 0, "string", None, " 12"), ("w", 0, 2, 1, "numeric", 1.5, "1.5"),
              ("w", 0, 3, 0, "numeric", 43101.0, "January 2018"), ("w", 0, 4, 0, "string", None, "January 2018"),
-             ("w", 0, 5, 0, "blank", None, None), ("w", 1, 5, 0, "formula", None, "A1+2")]
+             ("w", 0, 5, 0, "blank", None, None), ("w", 1, 5, 0, "formula", None, "A1+2"),
+             ("w", 1, 6, 0, "string", None, "%"), ("w", 1, 7, 0, "string", None, "\u0416"), ("w", 1, 8, 0, "numeric", 1e20, "1E20")]
     rows = spark.createDataFrame(cells, "workbook string, sheet_idx int, row int, col int, ctype string, num double, text string")
     rows = rows.withColumn("str", F.lit(None).cast("string")).withColumn("formula", F.lit(None).cast("string"))
     sheets = spark.createDataFrame([("w", 0, "a"), ("w", 1, "b")], "workbook string, sheet_idx int, sheet string")
@@ -232,11 +233,12 @@ def test_keys_that_the_index_leaves_out_are_found_by_a_scan(spark, tmp_path):
     at = lambda *keys: sorted(r["row"] for r in corpus.labelled(list(keys)).collect())
     assert (at("12"), at("1.5"), at("january 2018"), at("a1+2"), at("")) == ([0, 1], [2], [3, 4], [5], [5])
     assert at("12", "january 2018") == [0, 1, 3, 4]
+    assert (at("%"), at("\u0436"), at("1e20"), at("no such text")) == ([6], [7], [8], [])
     found = find_labels_indexed(corpus, {"m": "January 2018", "n": "12", "x": "none"}).collect()
     assert sorted(map(tuple, found)) == [("w", 0, "m", 4, 0), ("w", 0, "n", 1, 0)]
     plain = materialize(corpus.union(Corpus(corpus.sheets.limit(0), corpus.cells.limit(0), corpus.merges)),
                         str(tmp_path / "c"))
-    assert plain.labels.count() == corpus.labels.count() == 4  # ' 12' as a string is in
+    assert plain.labels.count() == corpus.labels.count() == 5  # no number without a letter, no blank, no %
 
 
 def test_a_corpus_written_without_the_index(spark, tmp_path):

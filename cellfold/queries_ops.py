@@ -791,7 +791,8 @@ FROM g
 """)
 def q_exclude_header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellfold.plans.inspection import exclude_header_rows
-    u = inspection_program(catalog.g3(spark, sf_dir)).stages["unfiltered"]
+    # both counts come from the same rows, made once: so the reads need not be stored
+    u = stored(inspection_program(catalog.g3(spark, sf_dir), store_reads=False).stages["unfiltered"], "unfiltered")
     before = u.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n_before"))
     after = exclude_header_rows(u).groupBy(*SHEET).agg(F.count(F.lit(1)).alias("n_after"))
     return before.join(after, SHEET)
